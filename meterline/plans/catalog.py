@@ -69,7 +69,290 @@ def q_monthly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.select(
         "pickup_zone", "revenue_month", "service_type",
         *[money(c).alias(c) for c in models.MART_SUMS],
-        "total_monthly_trips",
-        avg6("avg_monthly_passenger_count").alias("avg_monthly_passenger_count"),
-        avg6("avg_monthly_trip_distance").alias("avg_monthly_trip_distance"),
+        "total_monthly_trips", "avg_monthly_passenger_count", "avg_monthly_trip_distance",
     )
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Decimals -> DOUBLE through DECIMAL(18,4) for cross-engine comparison."""
+    from pyspark.sql import types as T
+    return df.select(*[money(f.name).alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+# --- staging / union / keys ---------------------------------------------------
+
+@register("stg_yellow")
+def q_stg_yellow(spark, sf_dir):
+    """Yellow staging (strict casts, NULL vendors dropped)."""
+    return comparable(staging.stage_yellow(adapter.raw_yellow(spark, sf_dir, False)))
+
+
+@register("stg_green")
+def q_stg_green(spark, sf_dir):
+    """Green staging (safe casts: 'bad' rate codes become NULL)."""
+    return comparable(staging.stage_green(adapter.raw_green(spark, sf_dir, False)))
+
+
+@register("trips_unioned")
+def q_trips_unioned(spark, sf_dir):
+    """Both services in one 20-column layout."""
+    y, g = staged(spark, sf_dir)
+    return comparable(staging.union_trips(g.drop(*adapter.TIE_BREAKERS),
+                                          y.drop(*adapter.TIE_BREAKERS)))
+
+
+@register("trips_dedup")
+def q_trips_dedup(spark, sf_dir):
+    """int_trips (keep earliest dropoff per natural key)."""
+    return comparable(trips(spark, sf_dir))
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    """Surrogate key over (vendor, pickup, pickup location, service) for every unioned row."""
+    from meterline.functions.exprs import surrogate_key
+    y, g = staged(spark, sf_dir)
+    u = staging.union_trips(g, y)
+    return u.select(*models.TRIP_KEY, surrogate_key(u, models.TRIP_KEY).alias("trip_id"))
+
+
+@register("row_fingerprint")
+def q_row_fingerprint(spark, sf_dir):
+    """Month-load staging rows (fingerprint, file name, raw columns) for both services."""
+    from meterline.plans import warehouse
+    out = []
+    for svc, raw in (("yellow", adapter.raw_yellow(spark, sf_dir, False)),
+                     ("green", adapter.raw_green(spark, sf_dir, False))):
+        st = warehouse.stage_month(raw, svc, filename=f"{svc}_tripdata.csv")
+        pick = "tpep_pickup_datetime" if svc == "yellow" else "lpep_pickup_datetime"
+        drop = "tpep_dropoff_datetime" if svc == "yellow" else "lpep_dropoff_datetime"
+        out.append(st.select("unique_row_id", "filename", "VendorID",
+                             F.col(pick).alias("pickup_datetime"),
+                             F.col(drop).alias("dropoff_datetime"),
+                             "PULocationID", "DOLocationID", money("fare_amount").alias("fare_amount")))
+    return out[0].unionByName(out[1])
+
+
+# --- star schema -------------------------------------------------------------------
+
+@register("fct_trips")
+def q_fct_trips(spark, sf_dir):
+    """The trip fact (two zone roles, duration in minutes)."""
+    return comparable(fact(spark, sf_dir))
+
+
+@register("dim_zones")
+def q_dim_zones(spark, sf_dir):
+    """Zone dimension."""
+    return zones_dim(spark, sf_dir)
+
+
+@register("dim_vendors")
+def q_dim_vendors(spark, sf_dir):
+    """Distinct vendors of the fact with names (NULL when unknown)."""
+    return models.dim_vendors(fact(spark, sf_dir))
+
+
+@register("payment_lookup_join")
+def q_payment_lookup_join(spark, sf_dir):
+    """Unioned trips left-joined to the payment seed, 'unknown' when missing."""
+    from meterline.operators.joins import lookup_join
+    from meterline.sources.files import payment_lookup
+    y, g = staged(spark, sf_dir)
+    u = staging.union_trips(g, y, carry=adapter.TIE_BREAKERS)
+    j = lookup_join(u, payment_lookup(spark), "payment_type", "payment_type_id",
+                    {"payment_type_name": "payment_type_name"},
+                    defaults={"payment_type_name": "unknown"})
+    return j.select(*adapter.TIE_BREAKERS, "service_type", "payment_type", "payment_type_name")
+
+
+# --- interval pipeline -----------------------------------------------------------------
+
+INTERVAL = ("1990-01-01 00:00:00", "2030-01-01 00:00:00")
+EXTRACTED_AT = "2024-01-01 00:00:00"
+
+
+def ingested(spark, sf_dir):
+    from meterline.plans import interval
+    return interval.ingest(adapter.interval_raw(spark, sf_dir), extracted_at=EXTRACTED_AT,
+                           carry=adapter.TIE_BREAKERS)
+
+
+def interval_staged(spark, sf_dir, start=INTERVAL[0], end=INTERVAL[1]):
+    from meterline.plans import interval
+    from meterline.sources.files import payment_lookup
+    return interval.interval_staging(ingested(spark, sf_dir), payment_lookup(spark), start, end,
+                                     tie_breakers=adapter.TIE_BREAKERS)
+
+
+@register("concat_by_name")
+def q_concat_by_name(spark, sf_dir):
+    """Ingest frames tagged, concatenated by name, declared columns kept."""
+    return ingested(spark, sf_dir).drop(*adapter.TIE_BREAKERS)
+
+
+@register("interval_staging")
+def q_interval_staging(spark, sf_dir):
+    """Staged trips for the run interval."""
+    return interval_staged(spark, sf_dir)
+
+
+@register("interval_daily_report")
+def q_interval_daily_report(spark, sf_dir):
+    """Daily trips report by taxi type."""
+    from meterline.plans import interval
+    return interval.daily_report(interval_staged(spark, sf_dir), *INTERVAL)
+
+
+@register("interval_daily_report_by_payment")
+def q_interval_daily_report_by_payment(spark, sf_dir):
+    """Daily report also keyed by payment type."""
+    from meterline.plans import interval
+    return interval.daily_report(interval_staged(spark, sf_dir), *INTERVAL, by_payment=True)
+
+
+@register("top_payment_types")
+def q_top_payment_types(spark, sf_dir):
+    """The 10 payment types with most staged trips."""
+    from meterline.operators.explore import top_k
+    return top_k(interval_staged(spark, sf_dir), "payment_type_name", 10)
+
+
+@register("dev_sample")
+def q_dev_sample(spark, sf_dir):
+    """Dev-target staging sample (a one-month half-open range)."""
+    return comparable(staging.stage_yellow(adapter.raw_yellow(spark, sf_dir, False),
+                                           sample_range=("1998-01-01", "1998-02-01")))
+
+
+# --- exploration over the yellow trips -----------------------------------------------------
+
+def yellow(spark, sf_dir):
+    return adapter.raw_yellow(spark, sf_dir, False)
+
+
+PICK = "tpep_pickup_datetime"
+
+
+@register("count_day")
+def q_count_day(spark, sf_dir):
+    """Trips picked up on one day."""
+    from meterline.operators.explore import count_rows
+    y = yellow(spark, sf_dir)
+    return count_rows(y.filter(F.to_date(PICK) == F.lit("1998-06-15").cast("date")))
+
+
+@register("distinct_vendors")
+def q_distinct_vendors(spark, sf_dir):
+    """Distinct vendors for one month (BETWEEN on the pickup day)."""
+    from meterline.operators.explore import on_dates
+    return on_dates(yellow(spark, sf_dir), PICK, None, "1998-06-01", "1998-06-30") \
+        .select("VendorID").distinct()
+
+
+@register("count_range_vendor")
+def q_count_range_vendor(spark, sf_dir):
+    """Trips of vendor 1 within a day range."""
+    from meterline.operators.explore import count_rows, on_dates
+    y = on_dates(yellow(spark, sf_dir), PICK, None, "1998-06-01", "2000-12-31")
+    return count_rows(y.filter(F.col("VendorID") == "1"))
+
+
+@register("minmax_ts")
+def q_minmax_ts(spark, sf_dir):
+    """A2: first and last pickup."""
+    from meterline.operators.explore import min_max
+    return min_max(yellow(spark, sf_dir), PICK)
+
+
+@register("minmax_vendor")
+def q_minmax_vendor(spark, sf_dir):
+    """First and last pickup of vendor 1."""
+    from meterline.operators.explore import min_max
+    return min_max(yellow(spark, sf_dir).filter(F.col("VendorID") == "1"), PICK)
+
+
+@register("distinct_days")
+def q_distinct_days(spark, sf_dir):
+    """first/last pickup day and exact number of distinct days."""
+    from meterline.operators.explore import date_span
+    return date_span(yellow(spark, sf_dir), PICK)
+
+
+@register("out_of_range_years")
+def q_out_of_range_years(spark, sf_dir):
+    """Pickups whose year is NOT BETWEEN 1996 AND 2000."""
+    from meterline.operators.explore import out_of_range_years
+    return out_of_range_years(yellow(spark, sf_dir), PICK, 1996, 2000)
+
+
+@register("by_vendor")
+def q_by_vendor(spark, sf_dir):
+    """A5 L1: trips per vendor, most first."""
+    from meterline.operators.explore import trips_by
+    return trips_by(yellow(spark, sf_dir), "VendorID", order="count")
+
+
+@register("by_year")
+def q_by_year(spark, sf_dir):
+    """Vendor-1 trips per pickup year."""
+    from meterline.operators.explore import trips_by, year_of
+    y = yellow(spark, sf_dir).filter(F.col("VendorID") == "1")
+    return trips_by(y, year_of(PICK).alias("yr"))
+
+
+@register("by_year_month")
+def q_by_year_month(spark, sf_dir):
+    """Trips per pickup year and month."""
+    from meterline.operators.explore import month_of, trips_by, year_of
+    return trips_by(yellow(spark, sf_dir), year_of(PICK).alias("yr"), month_of(PICK).alias("mn"))
+
+
+@register("month_label_counts")
+def q_month_label_counts(spark, sf_dir):
+    """Orders per 'yyyy-MM' and 'yyyy_MM' label."""
+    from meterline.functions.exprs import month_label
+    from meterline.sources.tables import table
+    o = table(spark, sf_dir, "orders")
+    return o.groupBy(month_label("o_orderdate").alias("month_label"),
+                     month_label("o_orderdate", "_").alias("table_suffix")) \
+            .agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("day_counts")
+def q_day_counts(spark, sf_dir):
+    """Orders per order day."""
+    from meterline.operators.explore import trips_by
+    from meterline.sources.tables import table
+    return trips_by(table(spark, sf_dir, "orders"), F.to_date("o_orderdate").alias("order_date"),
+                    count_alias="orders")
+
+
+@register("head_ordered")
+def q_head_ordered(spark, sf_dir):
+    """The first 10 events by time (a preview; the limit is the feature)."""
+    from meterline.operators.explore import head
+    from meterline.sources.tables import table
+    return head(table(spark, sf_dir, "events").select("event_id", "ts", "event_type"), 10, "ts")
+
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    """Row counts of all relational tables via SQL over temp views."""
+    from meterline.sources.tables import table
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    for n in names:
+        table(spark, sf_dir, n).createOrReplaceTempView(f"ml_src_{n}")
+    sql = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ml_src_{n}" for n in names)
+    return spark.sql(sql)
+
+
+@register("dedup_composite")
+def q_dedup_composite(spark, sf_dir):
+    """Lineitem keep-first per (l_orderkey, l_linenumber), total-order tie-break."""
+    from meterline.operators.dedup import dedup_first
+    from meterline.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    return dedup_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])

@@ -113,5 +113,6 @@ def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
         *[F.sum(src).alias(dst) for dst, src in MART_SUMS.items()],
         F.count("trip_id").alias("total_monthly_trips"),
         F.avg("passenger_count").alias("avg_monthly_passenger_count"),
-        F.avg("trip_distance").alias("avg_monthly_trip_distance"),
+        (F.sum("trip_distance").cast("double") / F.nullif(F.count("trip_distance"), F.lit(0)))
+        .alias("avg_monthly_trip_distance"),
     )

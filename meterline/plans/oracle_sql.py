@@ -168,8 +168,8 @@ MONTHLY_ZONE_REVENUE = with_ctes(f"""
 SELECT pickup_zone, revenue_month, service_type,
   {", ".join(money(f"SUM({src})") + f" AS {dst}" for dst, src in _MART_SUMS)},
   COUNT(trip_id) AS total_monthly_trips,
-  {avg6("AVG(passenger_count)")} AS avg_monthly_passenger_count,
-  {avg6("AVG(trip_distance)")} AS avg_monthly_trip_distance
+  AVG(passenger_count) AS avg_monthly_passenger_count,
+  {money("SUM(trip_distance)")} / NULLIF(COUNT(trip_distance), 0) AS avg_monthly_trip_distance
 FROM (
   SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone,
     CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month,
@@ -179,6 +179,228 @@ FROM (
 GROUP BY pickup_zone, revenue_month, service_type
 """, _TA, _STG)
 
+DECIMALS = {"trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+            "ehail_fee", "improvement_surcharge", "total_amount"}
+
+
+def sel(cols, prefix: str = "") -> str:
+    """Column list with exact decimal -> DOUBLE conversion for money columns."""
+    return ", ".join(money(prefix + c) + f" AS {c}" if c in DECIMALS else prefix + c
+                     for c in cols)
+
+
+STG_YELLOW_COLS = ["vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id",
+                   "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "passenger_count",
+                   "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
+                   "tolls_amount", "improvement_surcharge", "total_amount", "payment_type"]
+STG_GREEN_COLS = ["vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id",
+                  "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "passenger_count",
+                  "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax", "tip_amount",
+                  "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount",
+                  "payment_type"]
+UNION_COLS = ["vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id",
+              "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "passenger_count",
+              "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax", "tip_amount",
+              "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount",
+              "payment_type", "service_type"]
+TRIPS_COLS = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_location_id",
+              "dropoff_location_id", "pickup_datetime", "dropoff_datetime",
+              "store_and_fwd_flag", "passenger_count", "trip_distance", "trip_type",
+              "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+              "improvement_surcharge", "total_amount", "payment_type",
+              "payment_type_description"]
+FCT_COLS = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_location_id",
+            "pickup_borough", "pickup_zone", "dropoff_location_id", "dropoff_borough",
+            "dropoff_zone", "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag",
+            "passenger_count", "trip_distance", "trip_type", "trip_duration_minutes",
+            "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+            "improvement_surcharge", "total_amount", "payment_type", "payment_type_description"]
+
+PAYMENT_VALUES = ("(VALUES (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), "
+                  "(5, 'Unknown'), (6, 'Voided trip')) AS p(payment_type_id, payment_type_name)")
+
+TS_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
+
+
+def _fp(cols) -> str:
+    parts = []
+    for c in cols:
+        if c.endswith("datetime"):
+            parts.append(f"coalesce(strftime({c}, {TS_FMT}), '')")
+        else:
+            parts.append(f"coalesce(CAST({c} AS VARCHAR), '')")
+    return "md5(" + " || ".join(parts) + ")"
+
+
+FP_YELLOW = _fp(["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
+                 "DOLocationID"])
+FP_GREEN = _fp(["VendorID", "lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID",
+                "DOLocationID"])
+
+# --- interval pipeline ----------------------------------------------------------------
+_ING_AMOUNTS = ["trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
+                "tolls_amount", "improvement_surcharge", "total_amount"]
+
+
+def _ing_side(src: str, pre: str, taxi: str) -> str:
+    amounts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _ING_AMOUNTS)
+    return f"""SELECT CAST(VendorID AS INTEGER) AS vendor_id,
+    {pre}_pickup_datetime AS tpep_pickup_datetime, {pre}_dropoff_datetime AS tpep_dropoff_datetime,
+    CAST(passenger_count AS INTEGER) AS passenger_count,
+    CAST(PULocationID AS INTEGER) AS pu_location_id, CAST(DOLocationID AS INTEGER) AS do_location_id,
+    CAST(payment_type AS INTEGER) AS payment_type, {amounts},
+    '{taxi}' AS taxi_type, TIMESTAMP '2024-01-01 00:00:00' AS extracted_at,
+    l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM {src}"""
+
+
+_ING = f"""
+ing AS (
+  {_ing_side("ta_yellow", "tpep", "yellow")}
+  UNION ALL BY NAME
+  {_ing_side("ta_green", "lpep", "green")}
+),
+staged AS (
+  SELECT d.tpep_pickup_datetime AS pickup_datetime, d.tpep_dropoff_datetime AS dropoff_datetime,
+    d.pu_location_id AS pickup_location_id, d.do_location_id AS dropoff_location_id,
+    d.taxi_type, d.passenger_count, d.trip_distance, d.payment_type,
+    coalesce(p.payment_type_name, 'unknown') AS payment_type_name,
+    d.fare_amount, d.extra, d.mta_tax, d.tip_amount, d.tolls_amount,
+    d.improvement_surcharge, d.total_amount, d.extracted_at
+  FROM (
+    SELECT * FROM ing
+    WHERE tpep_pickup_datetime >= TIMESTAMP '1990-01-01 00:00:00'
+      AND tpep_pickup_datetime < TIMESTAMP '2030-01-01 00:00:00'
+      AND fare_amount >= 0
+    QUALIFY row_number() OVER (
+      PARTITION BY tpep_pickup_datetime, tpep_dropoff_datetime, pu_location_id,
+                   do_location_id, fare_amount, taxi_type
+      ORDER BY tpep_pickup_datetime, l_orderkey, l_linenumber, l_partkey, l_suppkey) = 1
+  ) d
+  LEFT JOIN {PAYMENT_VALUES} ON d.payment_type = p.payment_type_id
+)"""
+
+INTERVAL_COLS = ["vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
+                 "trip_distance", "pu_location_id", "do_location_id", "payment_type",
+                 "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+                 "improvement_surcharge", "total_amount", "taxi_type", "extracted_at"]
+
+
+def _xsum(c: str) -> str:
+    return f"CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE)"
+
+
+def _xavg(c: str) -> str:
+    return f"{_xsum(c)} / NULLIF(COUNT({c}), 0)"
+
+
+def _report(extra_key: str = "") -> str:
+    k = f", {extra_key}" if extra_key else ""
+    return with_ctes(f"""
+SELECT CAST(pickup_datetime AS DATE) AS pickup_date, taxi_type{k},
+  COUNT(*) AS total_trips,
+  {_xsum("fare_amount")} AS total_fare_amount, {_xavg("fare_amount")} AS avg_fare_amount,
+  {_xsum("tip_amount")} AS total_tip_amount, {_xavg("tip_amount")} AS avg_tip_amount,
+  {_xsum("trip_distance")} AS total_trip_distance, {_xavg("trip_distance")} AS avg_trip_distance
+FROM staged
+WHERE pickup_datetime >= TIMESTAMP '1990-01-01 00:00:00'
+  AND pickup_datetime < TIMESTAMP '2030-01-01 00:00:00'
+GROUP BY CAST(pickup_datetime AS DATE), taxi_type{k}
+ORDER BY pickup_date, taxi_type{k}""", _TA, _ING)
+
+
+def _yellow(body: str) -> str:
+    return with_ctes(body, _TA)
+
+
+_DAY = "CAST(tpep_pickup_datetime AS DATE)"
+_YR = "CAST(EXTRACT(YEAR FROM tpep_pickup_datetime) AS BIGINT)"
+_MN = "CAST(EXTRACT(MONTH FROM tpep_pickup_datetime) AS BIGINT)"
+
+_RELATIONAL = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
 ORACLE: dict[str, str] = {
     "monthly_zone_revenue": MONTHLY_ZONE_REVENUE,
+    "stg_yellow": with_ctes(f"SELECT {sel(STG_YELLOW_COLS)} FROM stg_yellow", _TA, _STG),
+    "stg_green": with_ctes(f"SELECT {sel(STG_GREEN_COLS)} FROM stg_green", _TA, _STG),
+    "trips_unioned": with_ctes(f"SELECT {sel(UNION_COLS)} FROM unioned", _TA, _STG),
+    "trips_dedup": with_ctes(f"SELECT {sel(TRIPS_COLS)} FROM trips", _TA, _STG),
+    "surrogate_key": with_ctes("""
+SELECT vendor_id, pickup_datetime, pickup_location_id, service_type,
+  md5(concat_ws('-',
+    coalesce(CAST(vendor_id AS VARCHAR), '__null__'),
+    coalesce(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'), '__null__'),
+    coalesce(CAST(pickup_location_id AS VARCHAR), '__null__'),
+    coalesce(service_type, '__null__'))) AS trip_id
+FROM unioned""", _TA, _STG),
+    "row_fingerprint": with_ctes(f"""
+SELECT {FP_YELLOW} AS unique_row_id, 'yellow_tripdata.csv' AS filename, VendorID,
+  tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime,
+  PULocationID, DOLocationID, {money("fare_amount")} AS fare_amount
+FROM ta_yellow
+UNION ALL
+SELECT {FP_GREEN}, 'green_tripdata.csv', VendorID, lpep_pickup_datetime, lpep_dropoff_datetime,
+  PULocationID, DOLocationID, {money("fare_amount")}
+FROM ta_green""", _TA),
+    "fct_trips": with_ctes(f"SELECT {sel(FCT_COLS)} FROM fct", _TA, _STG),
+    "dim_zones": with_ctes("SELECT * FROM zones", _TA, _STG),
+    "dim_vendors": with_ctes("""
+SELECT DISTINCT vendor_id,
+  CASE vendor_id WHEN 1 THEN 'Creative Mobile Technologies' WHEN 2 THEN 'VeriFone Inc.'
+    WHEN 4 THEN 'Unknown/Other' END AS vendor_name
+FROM fct""", _TA, _STG),
+    "payment_lookup_join": with_ctes(f"""
+SELECT u.l_orderkey, u.l_linenumber, u.l_partkey, u.l_suppkey, u.service_type, u.payment_type,
+  coalesce(p.payment_type_name, 'unknown') AS payment_type_name
+FROM unioned u LEFT JOIN {PAYMENT_VALUES} ON u.payment_type = p.payment_type_id""", _TA, _STG),
+    "concat_by_name": with_ctes(f"SELECT {', '.join(INTERVAL_COLS)} FROM ing", _TA, _ING),
+    "interval_staging": with_ctes("SELECT * FROM staged", _TA, _ING),
+    "interval_daily_report": _report(),
+    "interval_daily_report_by_payment": _report("payment_type"),
+    "top_payment_types": with_ctes("""
+SELECT payment_type_name, COUNT(*) AS trips FROM staged GROUP BY payment_type_name
+ORDER BY trips DESC, payment_type_name LIMIT 10""", _TA, _ING),
+    "dev_sample": with_ctes(f"""
+SELECT {sel(STG_YELLOW_COLS)} FROM stg_yellow
+WHERE pickup_datetime >= TIMESTAMP '1998-01-01' AND pickup_datetime < TIMESTAMP '1998-02-01'""",
+                            _TA, _STG),
+    "count_day": _yellow(f"SELECT COUNT(*) AS trips FROM ta_yellow WHERE {_DAY} = DATE '1998-06-15'"),
+    "distinct_vendors": _yellow(f"""
+SELECT DISTINCT VendorID FROM ta_yellow
+WHERE {_DAY} BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'"""),
+    "count_range_vendor": _yellow(f"""
+SELECT COUNT(*) AS trips FROM ta_yellow
+WHERE {_DAY} BETWEEN DATE '1998-06-01' AND DATE '2000-12-31' AND VendorID = '1'"""),
+    "minmax_ts": _yellow("""
+SELECT MIN(tpep_pickup_datetime) AS min_ts, MAX(tpep_pickup_datetime) AS max_ts FROM ta_yellow"""),
+    "minmax_vendor": _yellow("""
+SELECT MIN(tpep_pickup_datetime) AS min_ts, MAX(tpep_pickup_datetime) AS max_ts
+FROM ta_yellow WHERE VendorID = '1'"""),
+    "distinct_days": _yellow(f"""
+SELECT MIN({_DAY}) AS min_date, MAX({_DAY}) AS max_date, COUNT(DISTINCT {_DAY}) AS num_days
+FROM ta_yellow"""),
+    "out_of_range_years": _yellow(f"""
+SELECT tpep_pickup_datetime FROM ta_yellow WHERE {_YR} NOT BETWEEN 1996 AND 2000"""),
+    "by_vendor": _yellow("""
+SELECT VendorID, COUNT(*) AS trips FROM ta_yellow GROUP BY VendorID ORDER BY trips DESC"""),
+    "by_year": _yellow(f"""
+SELECT {_YR} AS yr, COUNT(*) AS trips FROM ta_yellow WHERE VendorID = '1' GROUP BY yr ORDER BY yr"""),
+    "by_year_month": _yellow(f"""
+SELECT {_YR} AS yr, {_MN} AS mn, COUNT(*) AS trips FROM ta_yellow GROUP BY yr, mn ORDER BY yr, mn"""),
+    "month_label_counts": """
+SELECT strftime(o_orderdate, '%Y-%m') AS month_label, strftime(o_orderdate, '%Y_%m') AS table_suffix,
+  COUNT(*) AS orders
+FROM orders GROUP BY 1, 2""",
+    "day_counts": """
+SELECT CAST(o_orderdate AS DATE) AS order_date, COUNT(*) AS orders FROM orders GROUP BY 1 ORDER BY 1""",
+    "head_ordered": "SELECT event_id, ts, event_type FROM events ORDER BY ts LIMIT 10",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _RELATIONAL),
+    "dedup_composite": """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+    l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+    l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1""",
 }
