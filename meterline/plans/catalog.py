@@ -356,3 +356,342 @@ def q_dedup_composite(spark, sf_dir):
     from meterline.sources.tables import table
     li = table(spark, sf_dir, "lineitem")
     return dedup_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# --- written tables (sinks, merges, interval replace) --------------------------------------
+# These queries write under the shared folder (spark.checkpoint.dir) and read
+# the result back, so the write strategies themselves are what is compared.
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _scratch(spark, name: str) -> str:
+    from meterline.session import new_table_path
+    return new_table_path(spark, name)
+
+
+def orders(spark, sf_dir) -> DataFrame:
+    from meterline.sources.tables import table
+    return table(spark, sf_dir, "orders")
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority"]
+ORDER_FP = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+
+
+def partitioned_orders(spark, sf_dir, cluster_by=None) -> str:
+    """K6/K7: orders written once per session, partitioned by order day."""
+    from meterline.operators.sinks import with_partition_date, write_table
+    key = (spark.sparkContext.applicationId, sf_dir, cluster_by)
+    if key not in _WRITTEN:
+        df = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
+        _WRITTEN[key] = write_table(df, _scratch(spark, "orders_by_day"), "overwrite",
+                                    partition_by="order_date", cluster_by=cluster_by)
+    return _WRITTEN[key]
+
+
+@register("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    """Rows per day partition, most rows first (partition column only)."""
+    from meterline.operators.explore import partition_counts
+    return partition_counts(spark.read.parquet(partitioned_orders(spark, sf_dir)), "order_date")
+
+
+@register("pruned_count")
+def q_pruned_count(spark, sf_dir):
+    """Count for a day range, pruned to the range's partitions."""
+    from meterline.operators.explore import count_rows, on_dates
+    df = spark.read.parquet(partitioned_orders(spark, sf_dir))
+    return count_rows(on_dates(df, "o_orderdate", "order_date", "1998-06-01", "1998-06-30"),
+                      "orders")
+
+
+@register("clustered_count")
+def q_clustered_count(spark, sf_dir):
+    """Day-range + status count on a table partitioned by day and
+    clustered (sorted within files) by status, so row groups skip."""
+    from meterline.operators.explore import count_rows, on_dates
+    df = spark.read.parquet(partitioned_orders(spark, sf_dir, cluster_by="o_orderstatus"))
+    df = on_dates(df, "o_orderdate", "order_date", "1998-06-01", "2000-12-31")
+    return count_rows(df.filter(F.col("o_orderstatus") == "F"), "orders")
+
+
+@register("ctas_roundtrip")
+def q_ctas_roundtrip(spark, sf_dir):
+    """CREATE OR REPLACE TABLE AS SELECT, read back by name."""
+    from meterline.operators.sinks import ctas
+    return ctas(spark, orders(spark, sf_dir), "meterline_orders_copy",
+                _scratch(spark, "orders_copy")).select(*ORDER_COLS)
+
+
+@register("append_two")
+def q_append_two(spark, sf_dir):
+    """K2 K4: write, then append the same rows again."""
+    from meterline.operators.sinks import append, write_table
+    path = write_table(orders(spark, sf_dir), _scratch(spark, "orders_append"))
+    append(orders(spark, sf_dir), path)
+    return spark.read.parquet(path).select(*ORDER_COLS)
+
+
+@register("replace_empty")
+def q_replace_empty(spark, sf_dir):
+    """K3: replace a table with an empty one of the same schema."""
+    from meterline.operators.sinks import replace_empty, write_table
+    path = write_table(orders(spark, sf_dir), _scratch(spark, "orders_empty"))
+    current = spark.read.parquet(path)
+    new_path = replace_empty(current, _scratch(spark, "orders_empty_v2"))
+    return spark.read.parquet(new_path).select(*ORDER_COLS)
+
+
+@register("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    """A full refresh ignores the (stale) prior state and rebuilds."""
+    from meterline.operators.merge import write_new_version
+    from meterline.operators.sinks import write_table
+    stale = orders(spark, sf_dir).withColumn("o_totalprice", F.lit(0.0))
+    write_table(stale, _scratch(spark, "orders_stale"))
+    path = write_new_version(orders(spark, sf_dir), _scratch(spark, "orders_refresh"))
+    return spark.read.parquet(path).select(*ORDER_COLS)
+
+
+@register("merge_empty_batch")
+def q_merge_empty_batch(spark, sf_dir):
+    """An empty staged batch leaves the target unchanged (no write at all)."""
+    from meterline.functions.exprs import row_fingerprint
+    from meterline.operators import merge
+    from meterline.operators.sinks import append, write_table
+    o = orders(spark, sf_dir)
+    path = write_table(o.select(row_fingerprint(o, ORDER_FP).alias("unique_row_id"), *ORDER_COLS),
+                       _scratch(spark, "orders_merge_empty"))
+    batch = o.filter(F.col("o_orderdate") >= F.lit("2100-01-01").cast("timestamp_ntz"))
+    batch = batch.select(row_fingerprint(batch, ORDER_FP).alias("unique_row_id"), *ORDER_COLS)
+    if not merge.skip_if_empty(batch):
+        append(merge.new_rows(spark.read.parquet(path), batch, "unique_row_id"), path)
+    return spark.read.parquet(path)
+
+
+@register("merge_insert_only")
+def q_merge_insert_only(spark, sf_dir):
+    """Insert-only merge of an overlapping batch into a
+    day-partitioned target; the anti-join reads only the batch's day range."""
+    from meterline.functions.exprs import row_fingerprint
+    from meterline.operators import merge
+    from meterline.operators.sinks import append, with_partition_date, write_table
+    o = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
+    fp = row_fingerprint(o, ORDER_FP).alias("unique_row_id")
+    keyed = o.select(fp, *ORDER_COLS, "order_date")
+    cut_old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    cut_new = F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")
+    path = write_table(keyed.filter(cut_old), _scratch(spark, "orders_merge_target"),
+                       partition_by="order_date")
+    target = spark.read.parquet(path)
+    fresh = merge.new_rows(target, keyed.filter(cut_new), "unique_row_id",
+                           prune_on="order_date").checkpoint()
+    append(fresh, path, partition_by="order_date")
+    return spark.read.parquet(path).select("unique_row_id", *ORDER_COLS)
+
+
+def _upsert_source(spark, sf_dir, new_column: bool):
+    o = orders(spark, sf_dir).filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    o = o.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+    if new_column:
+        o = o.withColumn("o_priority_rank", F.substring("o_orderpriority", 1, 1).cast("int"))
+    return o
+
+
+def _upsert(spark, sf_dir, new_column: bool):
+    from meterline.operators import merge
+    from meterline.operators.sinks import write_table
+    old = orders(spark, sf_dir).filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    path = write_table(old, _scratch(spark, "orders_upsert_target"))
+    nxt = merge.merge_upsert(spark.read.parquet(path), _upsert_source(spark, sf_dir, new_column),
+                             "o_orderkey", check_unique=True)
+    new_path = merge.write_new_version(nxt, _scratch(spark, "orders_upsert_v2"))
+    return spark.read.parquet(new_path)
+
+
+@register("merge_upsert")
+def q_merge_upsert(spark, sf_dir):
+    """Update matching keys, insert the rest (new table version)."""
+    return _upsert(spark, sf_dir, False).select(*ORDER_COLS)
+
+
+@register("merge_upsert_new_column")
+def q_merge_upsert_new_column(spark, sf_dir):
+    """The source brings a new column; old rows get NULL."""
+    return _upsert(spark, sf_dir, True).select(*ORDER_COLS, "o_priority_rank")
+
+
+REPLACE_START, REPLACE_END = "1997-01-01", "1998-01-01"
+
+
+@register("replace_interval")
+def q_replace_interval(spark, sf_dir):
+    """Replace one year of a day-partitioned table; only that year's
+    partitions are rewritten, and days left without rows are removed."""
+    import datetime as dt
+    from meterline.operators import merge
+    from meterline.operators.sinks import with_partition_date, write_table
+    o = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
+    path = write_table(o, _scratch(spark, "orders_interval"), partition_by="order_date")
+    s, e = dt.datetime.fromisoformat(REPLACE_START), dt.datetime.fromisoformat(REPLACE_END)
+    rows = (o.filter(merge.in_interval("o_orderdate", s, e))
+             .filter(F.col("o_orderstatus") != "P")
+             .withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    target = spark.read.parquet(path)
+    # The touched days' new content: old rows of those days outside the interval + new rows.
+    day_in = F.col("order_date").between(F.lit(s.date()), F.lit(e.date()))
+    touched = merge.replace_interval(target.filter(day_in), rows.select(*target.columns),
+                                     "o_orderdate", s, e).checkpoint()
+    present = {r[0] for r in touched.select("order_date").distinct().collect()}
+    had = {r[0] for r in target.filter(day_in).select("order_date").distinct().collect()}
+    merge.overwrite_partitions(spark, touched, path, "order_date", emptied=sorted(had - present))
+    return spark.read.parquet(path).select(*ORDER_COLS)
+
+
+@register("delete_insert")
+def q_delete_insert(spark, sf_dir):
+    """Delete target rows whose key is in the batch, insert the whole batch
+    (its duplicates included)."""
+    from meterline.operators import merge
+    from meterline.operators.sinks import write_table
+    path = write_table(orders(spark, sf_dir), _scratch(spark, "orders_delete_insert"))
+    batch = (orders(spark, sf_dir)
+             .filter((F.col("o_orderstatus") == "F") &
+                     (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
+             .withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    batch = batch.unionByName(batch)
+    nxt = merge.delete_insert(spark.read.parquet(path), batch, "o_orderkey")
+    return spark.read.parquet(merge.write_new_version(nxt, _scratch(spark, "orders_di_v2"))) \
+        .select(*ORDER_COLS)
+
+
+@register("incremental_fact")
+def q_incremental_fact(spark, sf_dir):
+    """First run on an empty target, second run merges
+    only trips after the target's high-water mark (upsert on trip_id)."""
+    from meterline.operators import merge
+    from meterline.operators.sinks import write_table
+    full = fact(spark, sf_dir)
+    first = merge.incremental_rows(
+        full.filter(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")),
+        None, "pickup_datetime")
+    path = write_table(first, _scratch(spark, "fct_trips_v1"))
+    target = spark.read.parquet(path)
+    new = merge.incremental_rows(fact(spark, sf_dir), target, "pickup_datetime")
+    nxt = merge.merge_upsert(target, new, "trip_id")
+    out = spark.read.parquet(merge.write_new_version(nxt, _scratch(spark, "fct_trips_v2")))
+    return out.select("trip_id", "pickup_datetime", "service_type",
+                      money("total_amount").alias("total_amount"))
+
+
+# --- CSV sources --------------------------------------------------------------------------
+
+@register("csv_inferred_lookup")
+def q_csv_inferred_lookup(spark, sf_dir):
+    """Zone lookup landed as CSV, read back with inferred types."""
+    from meterline.sources.files import read_csv_inferred
+    path = _scratch(spark, "zones_csv")
+    adapter.zones(spark, sf_dir).write.option("header", True).csv(path)
+    z = read_csv_inferred(spark, path)
+    return models.dim_zones(z)
+
+
+@register("csv_wildcards")
+def q_csv_wildcards(spark, sf_dir):
+    """An external table over two wildcard URIs (1990s and 2000s files)."""
+    from meterline.sources.files import external_table
+    base = _scratch(spark, "orders_csv")
+    o = orders(spark, sf_dir).withColumn("decade", F.substring(F.year("o_orderdate").cast("string"), 1, 3))
+    (o.withColumn("part", F.concat(F.lit("orders_"), F.col("decade"), F.lit("x")))
+      .drop("decade").write.option("header", True).partitionBy("part").csv(base))
+    ext = external_table(spark, "meterline_orders_ext",
+                         [f"{base}/part=orders_199*/*.csv", f"{base}/part=orders_200*/*.csv"])
+    return ext.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,4)")).cast("double").alias("total_price"),
+        F.min("o_orderkey").cast("bigint").alias("min_orderkey"),
+        F.max("o_orderkey").cast("bigint").alias("max_orderkey"))
+
+
+@register("seed_lookup_csv")
+def q_seed_lookup_csv(spark, sf_dir):
+    """Payment seed landed as CSV, read with its typed schema, and
+    joined to the ingested trips (lookup rows with no trips included)."""
+    from meterline.sources.files import payment_lookup, read_lookup
+    path = _scratch(spark, "payment_seed")
+    payment_lookup(spark).write.option("header", True).csv(path)
+    seed = read_lookup(spark, path)
+    counts = ingested(spark, sf_dir).groupBy("payment_type").agg(F.count(F.lit(1)).alias("trips"))
+    return (seed.join(counts, seed.payment_type_id == counts.payment_type, "left")
+                .select("payment_type_id", "payment_type_name",
+                        F.coalesce("trips", F.lit(0)).cast("bigint").alias("trips")))
+
+
+def landed_months(spark, sf_dir) -> str:
+    """Raw trips landed as month CSV folders (one per service and month)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "months")
+    if key not in _WRITTEN:
+        from meterline.functions.exprs import month_label
+        base = _scratch(spark, "landing")
+        for svc, raw in (("yellow", adapter.raw_yellow(spark, sf_dir, False)),
+                         ("green", adapter.raw_green(spark, sf_dir, False))):
+            pick = "tpep_pickup_datetime" if svc == "yellow" else "lpep_pickup_datetime"
+            name = F.concat(F.lit(f"{svc}_tripdata_"), month_label(pick), F.lit(".csv"))
+            (raw.withColumn("month_file", name).repartition("month_file")
+                .write.option("header", True).partitionBy("month_file").mode("append").csv(base))
+        _WRITTEN[key] = base
+    return _WRITTEN[key]
+
+
+def _backfill(spark, sf_dir, lineage: bool) -> DataFrame:
+    from meterline.sources import files
+    base = landed_months(spark, sf_dir)
+    frames = []
+    for svc in ("yellow", "green"):
+        paths = files.existing_paths(spark, files.month_paths(
+            base, [svc], (1995, 1), (2001, 12), ext=".csv", layout="month_file={name}{ext}"))
+        raw = files.read_trips_csv(spark, paths, svc)
+        pick = "tpep_pickup_datetime" if svc == "yellow" else "lpep_pickup_datetime"
+        if lineage:
+            label = F.regexp_extract(F.col("_metadata.file_path"), r"tripdata_(\d{4}-\d{2})", 1)
+        else:
+            label = F.date_format(pick, "yyyy-MM")
+        frames.append(raw.select(F.lit(svc).alias("service"), label.alias("month_label"),
+                                 F.col("fare_amount")))
+    u = frames[0].unionByName(frames[1])
+    return u.groupBy("service", "month_label").agg(
+        F.count(F.lit(1)).alias("trips"), money(F.sum("fare_amount")).alias("fare_amount"))
+
+
+@register("month_backfill")
+def q_month_backfill(spark, sf_dir):
+    """Backfill a month range of both services in one read
+    each, with explicit schemas."""
+    return _backfill(spark, sf_dir, lineage=False)
+
+
+@register("file_lineage")
+def q_file_lineage(spark, sf_dir):
+    """Rows per source file (month) from the file-name metadata column."""
+    return _backfill(spark, sf_dir, lineage=True)
+
+
+@register("stream_month_load")
+def q_stream_month_load(spark, sf_dir):
+    """Month files picked up by a file stream (two files per
+    micro-batch) and merged exactly once; a second run inserts nothing."""
+    from meterline.streaming.month_load import stream_month_load
+    from meterline.functions.exprs import month_label
+    landing = _scratch(spark, "stream_landing")
+    # Files hold whole months, as month files do (rows sharing a pickup land together).
+    (yellow(spark, sf_dir).repartition(month_label("tpep_pickup_datetime"))
+        .write.option("header", True).csv(landing))
+    target, ckpt = _scratch(spark, "yellow_target"), _scratch(spark, "yellow_stream_ckpt")
+    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2)
+    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2)
+    t = spark.read.parquet(target)
+    return t.select("unique_row_id", "VendorID", F.col("tpep_pickup_datetime").alias("pickup_datetime"),
+                    F.col("tpep_dropoff_datetime").alias("dropoff_datetime"), "PULocationID",
+                    "DOLocationID", money("fare_amount").alias("fare_amount"))

@@ -404,3 +404,84 @@ QUALIFY row_number() OVER (
     l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
     l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1""",
 }
+
+
+# --- written tables ------------------------------------------------------------------------
+_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+_ORDER_FP = ("md5(CAST(o_orderkey AS VARCHAR) || CAST(o_custkey AS VARCHAR) || "
+             f"strftime(o_orderdate, {TS_FMT}) || o_orderstatus || o_orderpriority)")
+_FP_ORDERS = f"SELECT {_ORDER_FP} AS unique_row_id, {_ORDER_COLS} FROM orders"
+_IN_1997 = "o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'"
+_BACKFILL = with_ctes(f"""
+SELECT service, month_label, COUNT(*) AS trips, {money("SUM(fare_amount)")} AS fare_amount
+FROM (
+  SELECT 'yellow' AS service, strftime(tpep_pickup_datetime, '%Y-%m') AS month_label, fare_amount
+  FROM ta_yellow
+  UNION ALL
+  SELECT 'green', strftime(lpep_pickup_datetime, '%Y-%m'), fare_amount FROM ta_green) m
+GROUP BY service, month_label""", _TA)
+
+ORACLE.update({
+    "partition_counts": """
+SELECT CAST(o_orderdate AS DATE) AS order_date, COUNT(*) AS total_rows FROM orders
+GROUP BY 1 ORDER BY total_rows DESC, order_date""",
+    "pruned_count": """
+SELECT COUNT(*) AS orders FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'""",
+    "clustered_count": """
+SELECT COUNT(*) AS orders FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-01' AND DATE '2000-12-31'
+  AND o_orderstatus = 'F'""",
+    "ctas_roundtrip": f"SELECT {_ORDER_COLS} FROM orders",
+    "append_two": f"SELECT {_ORDER_COLS} FROM orders UNION ALL SELECT {_ORDER_COLS} FROM orders",
+    "replace_empty": f"SELECT {_ORDER_COLS} FROM orders WHERE false",
+    "full_refresh": f"SELECT {_ORDER_COLS} FROM orders",
+    "merge_empty_batch": _FP_ORDERS,
+    "merge_insert_only": _FP_ORDERS,
+    "merge_upsert": f"""
+SELECT {_ORDER_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""",
+    "merge_upsert_new_column": f"""
+SELECT {_ORDER_COLS}, CAST(NULL AS INTEGER) AS o_priority_rank
+FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0, o_orderdate, o_orderpriority,
+  CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
+FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""",
+    "replace_interval": f"""
+SELECT {_ORDER_COLS} FROM orders WHERE NOT ({_IN_1997})
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2, o_orderdate, o_orderpriority
+FROM orders WHERE {_IN_1997} AND o_orderstatus <> 'P'""",
+    "delete_insert": f"""
+WITH batch AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate,
+    o_orderpriority
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01')
+SELECT {_ORDER_COLS} FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+UNION ALL SELECT * FROM batch
+UNION ALL SELECT * FROM batch""",
+    "incremental_fact": with_ctes(f"""
+SELECT trip_id, pickup_datetime, service_type, {money("total_amount")} AS total_amount FROM fct""",
+                                  _TA, _STG),
+    "csv_inferred_lookup": with_ctes("SELECT * FROM zones", _TA, _STG),
+    "csv_wildcards": """
+SELECT o_orderstatus, COUNT(*) AS orders,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS total_price,
+  MIN(o_orderkey) AS min_orderkey, MAX(o_orderkey) AS max_orderkey
+FROM orders GROUP BY o_orderstatus""",
+    "seed_lookup_csv": with_ctes(f"""
+SELECT p.payment_type_id, p.payment_type_name, CAST(coalesce(c.trips, 0) AS BIGINT) AS trips
+FROM {PAYMENT_VALUES}
+LEFT JOIN (SELECT payment_type, COUNT(*) AS trips FROM ing GROUP BY payment_type) c
+  ON p.payment_type_id = c.payment_type""", _TA, _ING),
+    "month_backfill": _BACKFILL,
+    "file_lineage": _BACKFILL,
+    "stream_month_load": with_ctes(f"""
+SELECT {FP_YELLOW} AS unique_row_id, VendorID, tpep_pickup_datetime AS pickup_datetime,
+  tpep_dropoff_datetime AS dropoff_datetime, PULocationID, DOLocationID,
+  {money("fare_amount")} AS fare_amount
+FROM ta_yellow""", _TA),
+})

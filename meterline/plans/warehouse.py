@@ -23,7 +23,12 @@ def stage_month(raw: DataFrame, service: str, filename: str | None = None) -> Da
     """Staging rows: ``unique_row_id`` (md5 of vendor, pickup, dropoff, PU, DO
     without separator), ``filename`` (a literal, else the source file of each
     row), then the raw columns in file order, plus the derived partition day."""
-    fname = F.lit(filename) if filename else F.col("_metadata.file_name")
+    if filename:
+        fname = F.lit(filename)
+    elif "filename" in raw.columns:  # attached upstream (e.g. by a file stream)
+        fname = F.col("filename")
+    else:
+        fname = F.col("_metadata.file_name")
     raw_cols = [f.name for f in RAW_SCHEMAS[service].fields]
     return raw.select(
         row_fingerprint(raw, FINGERPRINT_COLUMNS[service]).alias("unique_row_id"),

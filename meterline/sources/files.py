@@ -41,18 +41,39 @@ def month_name(service: str, year: int, month: int) -> str:
 
 
 def month_paths(base: str, services: Iterable[str], start: tuple[int, int],
-                end: tuple[int, int], ext: str = ".csv.gz") -> list[str]:
-    """Every month file from ``start`` to ``end`` (inclusive) per service."""
+                end: tuple[int, int], ext: str = ".csv.gz",
+                layout: str = "{name}{ext}") -> list[str]:
+    """Every month file from ``start`` to ``end`` (inclusive) per service.
+
+    ``layout`` places the name under ``base`` (fields: name, ext, service,
+    year, month), e.g. ``"month_file={name}{ext}"`` for files a Spark job
+    landed with ``partitionBy``.
+    """
     (y0, m0), (y1, m1) = validate_month(*start), validate_month(*end)
     out = []
     for svc in services:
         y, m = y0, m0
         while (y, m) <= (y1, m1):
-            out.append(f"{base.rstrip('/')}/{month_name(svc, y, m)}{ext}")
+            rel = layout.format(name=month_name(svc, y, m), ext=ext, service=svc,
+                                year=y, month=m)
+            out.append(f"{base.rstrip('/')}/{rel}")
             y, m = (y + 1, 1) if m == 12 else (y, m + 1)
     return out
 
 
+def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Keep the paths that exist (a backfill range may include months
+    without a file); checked on the driver through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(p)
+    return out
+
+
 def read_trips_csv(spark: SparkSession, paths, service: str, strict: bool = False,
                    keep_corrupt: bool = False) -> DataFrame:
     """Month CSV(.gz) with the explicit raw schema and a header row.
