@@ -695,3 +695,103 @@ def q_stream_month_load(spark, sf_dir):
     return t.select("unique_row_id", "VendorID", F.col("tpep_pickup_datetime").alias("pickup_datetime"),
                     F.col("tpep_dropoff_datetime").alias("dropoff_datetime"), "PULocationID",
                     "DOLocationID", money("fare_amount").alias("fare_amount"))
+
+
+# --- machine learning -----------------------------------------------------------------
+
+def ml_table(spark, sf_dir) -> DataFrame:
+    """M1 over the yellow trips, with the month-load fingerprint as row key."""
+    from meterline.functions.exprs import row_fingerprint
+    from meterline.operators.ml import ml_features
+    from meterline.schemas import FINGERPRINT_COLUMNS
+    raw = yellow(spark, sf_dir)
+    raw = raw.withColumn("row_key", row_fingerprint(raw, FINGERPRINT_COLUMNS["yellow"]))
+    return ml_features(raw, keep=["row_key"])
+
+
+def sig6(c) -> Column:
+    """Round to 6 significant digits (metric comparison across engines)."""
+    c = F.col(c) if isinstance(c, str) else c
+    k = F.ceil(F.log10(F.abs(c)))
+    scale = F.pow(F.lit(10.0), k)
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / scale, 6) * scale)
+
+
+@register("ml_features")
+def q_ml_features(spark, sf_dir):
+    """M1: feature table (codes as text, zero fares dropped)."""
+    return ml_table(spark, sf_dir).drop("row_key")
+
+
+@register("ml_split")
+def q_ml_split(spark, sf_dir):
+    """M8: deterministic 80/20 split by md5 of the row key."""
+    from meterline.operators.ml import split
+    s = split(ml_table(spark, sf_dir), F.col("row_key"))
+    return s.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("tip_amount").cast("decimal(18,4)")).cast("double").alias("tip_amount"))
+
+
+@register("ml_feature_info")
+def q_ml_feature_info(spark, sf_dir):
+    """M3: per-feature statistics in one aggregate."""
+    from meterline.operators.ml import feature_info
+    return feature_info(ml_table(spark, sf_dir))
+
+
+@register("ml_predict_single_feature")
+def q_ml_predict_single_feature(spark, sf_dir):
+    """M2 M5: least squares tip ~ fare; coefficients and summed predictions."""
+    from meterline.operators import ml
+    data = ml_table(spark, sf_dir)
+    model = ml.train(data, numeric=["fare_amount"], categorical=[])
+    scored = ml.predict(model, data.filter(F.col("tip_amount").isNotNull()))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.lit(float(model.linear.intercept)), 6).alias("intercept"),
+        F.round(F.lit(float(model.linear.coefficients[0])), 6).alias("slope"),
+        F.round(F.sum("predicted_tip_amount"), 4).alias("sum_predicted_tip_amount"))
+
+
+@register("ml_predict_categorical")
+def q_ml_predict_categorical(spark, sf_dir):
+    """M2 M5: one-hot regression on the payment type; per type, rows and
+    summed predictions (equal to the summed tips for least squares)."""
+    from meterline.operators import ml
+    data = ml_table(spark, sf_dir)
+    model = ml.train(data, numeric=[], categorical=["payment_type"])
+    scored = ml.predict(model, data.filter(F.col("tip_amount").isNotNull()))
+    return scored.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("predicted_tip_amount"), 2).alias("sum_predicted_tip_amount"))
+
+
+@register("ml_evaluate")
+def q_ml_evaluate(spark, sf_dir):
+    """M4 M8: train on the train split, evaluate on the hold-out (6 significant digits)."""
+    from meterline.operators import ml
+    s = ml.split(ml_table(spark, sf_dir), F.col("row_key"))
+    model = ml.train(s.filter(F.col("split") == "train"), numeric=[], categorical=["payment_type"])
+    m = ml.evaluate(model, s.filter(F.col("split") == "eval").drop("split"))
+    return m.select(*[sig6(c).alias(c) for c in m.columns])
+
+
+@register("ml_explain_top3")
+def q_ml_explain_top3(spark, sf_dir):
+    """M6: top-3 feature attributions per prediction (no SQL form)."""
+    from meterline.operators import ml
+    data = ml_table(spark, sf_dir)
+    model = ml.train(data.drop("row_key"))
+    return ml.explain(model, data).select("row_key", "predicted_tip_amount",
+                                          "top_feature_attributions",
+                                          "baseline_prediction_value", "prediction_value")
+
+
+@register("ml_tune")
+def q_ml_tune(spark, sf_dir):
+    """M7 M9: 5 seeded trials, 2 at a time; best model persisted (no SQL form)."""
+    from meterline.operators import ml
+    table, best = ml.tune(ml_table(spark, sf_dir), F.col("row_key"), seed=7)
+    ml.save(best, _scratch(spark, "tip_hyperparam_model"))
+    return table

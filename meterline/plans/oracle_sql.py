@@ -485,3 +485,76 @@ SELECT {FP_YELLOW} AS unique_row_id, VendorID, tpep_pickup_datetime AS pickup_da
   {money("fare_amount")} AS fare_amount
 FROM ta_yellow""", _TA),
 })
+
+
+# --- machine learning ---------------------------------------------------------------------
+_ML = f"""
+mlt AS (
+  SELECT {FP_YELLOW} AS row_key,
+    CAST(passenger_count AS DOUBLE) AS passenger_count, CAST(trip_distance AS DOUBLE) AS trip_distance,
+    PULocationID, DOLocationID, CAST(payment_type AS VARCHAR) AS payment_type,
+    CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+    CAST(tip_amount AS DOUBLE) AS tip_amount
+  FROM ta_yellow WHERE fare_amount <> 0
+),
+mls AS (
+  SELECT *, CASE WHEN ('0x' || substr(md5(row_key), 1, 4))::INTEGER % 100 < 20
+                 THEN 'eval' ELSE 'train' END AS split
+  FROM mlt
+)"""
+
+
+def _num_info(c: str) -> str:
+    return (f"SELECT '{c}' AS input, MIN({c}) AS min, MAX({c}) AS max, "
+            f"CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT({c}), 0) AS mean, "
+            f"quantile_disc({c}, 0.5) AS median, ROUND(stddev_samp({c}), 6) AS stddev, "
+            f"CAST(NULL AS BIGINT) AS category_count, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+            "FROM mlt")
+
+
+def _cat_info(c: str) -> str:
+    return (f"SELECT '{c}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
+            f"CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), COUNT(DISTINCT {c}), "
+            f"COUNT(*) FILTER (WHERE {c} IS NULL) FROM mlt")
+
+
+def _sig6(x: str) -> str:
+    x = f"({x})"
+    k = f"CEIL(LOG10(ABS({x})))"
+    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE ROUND({x} / POW(10.0, {k}), 6) * POW(10.0, {k}) END"
+
+
+_EVAL = f"""
+SELECT {_sig6("AVG(ABS(e))")} AS mean_absolute_error,
+  {_sig6("AVG(e * e)")} AS mean_squared_error,
+  {_sig6("AVG(CASE WHEN p > -1 AND y > -1 THEN POW(LN(1 + p) - LN(1 + y), 2) END)")} AS mean_squared_log_error,
+  {_sig6("quantile_disc(ABS(e), 0.5)")} AS median_absolute_error,
+  {_sig6("1 - AVG(e * e) / VAR_POP(y)")} AS r2_score,
+  {_sig6("1 - VAR_POP(e) / VAR_POP(y)")} AS explained_variance
+FROM (
+  SELECT t.tip_amount AS y, g.p AS p, g.p - t.tip_amount AS e
+  FROM mls t JOIN (
+    SELECT coalesce(payment_type, '__null__') AS pt, AVG(tip_amount) AS p
+    FROM mls WHERE split = 'train' AND tip_amount IS NOT NULL GROUP BY 1) g
+  ON coalesce(t.payment_type, '__null__') = g.pt
+  WHERE t.split = 'eval' AND t.tip_amount IS NOT NULL) r"""
+
+ORACLE.update({
+    "ml_features": with_ctes("SELECT * EXCLUDE (row_key) FROM mlt", _TA, _ML),
+    "ml_split": with_ctes("""
+SELECT split, COUNT(*) AS rows, CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE) AS tip_amount
+FROM mls GROUP BY split""", _TA, _ML),
+    "ml_feature_info": with_ctes(" UNION ALL ".join(
+        [_num_info(c) for c in ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")]
+        + [_cat_info(c) for c in ("PULocationID", "DOLocationID", "payment_type")]), _TA, _ML),
+    "ml_predict_single_feature": with_ctes("""
+SELECT COUNT(*) AS n, ROUND(regr_intercept(tip_amount, fare_amount), 6) AS intercept,
+  ROUND(regr_slope(tip_amount, fare_amount), 6) AS slope,
+  ROUND(CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE), 4) AS sum_predicted_tip_amount
+FROM mlt WHERE tip_amount IS NOT NULL""", _TA, _ML),
+    "ml_predict_categorical": with_ctes("""
+SELECT payment_type, COUNT(*) AS n,
+  ROUND(CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE), 2) AS sum_predicted_tip_amount
+FROM mlt WHERE tip_amount IS NOT NULL GROUP BY payment_type""", _TA, _ML),
+    "ml_evaluate": with_ctes(_EVAL, _TA, _ML),
+})
