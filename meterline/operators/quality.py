@@ -129,8 +129,8 @@ def freshness(df: DataFrame, column: str, as_of: dt.datetime, warn_hours: float
             "source string, max_loaded_at timestamp_ntz, age_hours double, status string")
     ref = F.lit(as_of).cast("timestamp_ntz")
     m = df.agg(F.max(column).cast("timestamp_ntz").alias("max_loaded_at"))
-    age = ((F.unix_micros(ref.cast("timestamp")) -
-            F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 3.6e9)
+    # elapsed time between two zone-free timestamps: no session time zone involved
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), ref) / 3.6e9
     return m.select(
         F.lit(source).alias("source"), "max_loaded_at",
         F.round(age, 6).alias("age_hours"),

@@ -795,3 +795,173 @@ def q_ml_tune(spark, sf_dir):
     table, best = ml.tune(ml_table(spark, sf_dir), F.col("row_key"), seed=7)
     ml.save(best, _scratch(spark, "tip_hyperparam_model"))
     return table
+
+
+# --- data-quality checks ---------------------------------------------------------------------
+
+def _suite(model: str, df: DataFrame, checks) -> DataFrame:
+    from meterline.operators.quality import run_suite
+    r = run_suite(df, checks)
+    return r.select(F.lit(model).alias("model"), *r.columns)
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _models(spark, sf_dir) -> dict:
+    """Lazy builders of every checked model."""
+    from meterline.plans import interval
+    from meterline.sources.files import payment_lookup
+    return {
+        "stg_yellow": lambda: staging.stage_yellow(yellow(spark, sf_dir)),
+        "stg_green": lambda: staging.stage_green(adapter.raw_green(spark, sf_dir, False)),
+        "int_trips": lambda: trips(spark, sf_dir),
+        "fct_trips": lambda: fact(spark, sf_dir),
+        "dim_zones": lambda: zones_dim(spark, sf_dir),
+        "dim_vendors": lambda: models.dim_vendors(fact(spark, sf_dir)),
+        "fct_monthly_zone_revenue": lambda: models.monthly_zone_revenue(fact(spark, sf_dir)),
+        "payment_lookup": lambda: payment_lookup(spark),
+        "staging_trips": lambda: interval_staged(spark, sf_dir),
+        "trips_report": lambda: interval.daily_report(interval_staged(spark, sf_dir), *INTERVAL),
+    }
+
+
+def _run(spark, sf_dir, plan) -> DataFrame:
+    m = _models(spark, sf_dir)
+    return _union([_suite(name, m[name](), checks) for name, checks in plan])
+
+
+@register("check_not_null")
+def q_check_not_null(spark, sf_dir):
+    """Q1: the declared not-null checks of staging, intermediate, fact and mart."""
+    from meterline.operators.quality import not_null as nn
+    core = ["trip_id", "vendor_id", "service_type", "pickup_datetime", "total_amount"]
+    return _run(spark, sf_dir, [
+        ("stg_yellow", [nn("vendor_id"), nn("pickup_datetime")]),
+        ("stg_green", [nn("vendor_id"), nn("pickup_datetime")]),
+        ("int_trips", [nn(c) for c in core]),
+        ("fct_trips", [nn(c) for c in core]),
+        ("fct_monthly_zone_revenue", [nn(c) for c in (
+            "pickup_zone", "revenue_month", "service_type", "revenue_monthly_total_amount",
+            "total_monthly_trips")]),
+        ("payment_lookup", [nn("payment_type_id"), nn("payment_type_name")]),
+        ("staging_trips", [nn("pickup_datetime"), nn("dropoff_datetime")]),
+        ("trips_report", [nn("pickup_date")]),
+    ])
+
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    """Q2: unique keys (NULLs excluded)."""
+    from meterline.operators.quality import unique
+    return _run(spark, sf_dir, [
+        ("int_trips", [unique("trip_id")]), ("fct_trips", [unique("trip_id")]),
+        ("dim_zones", [unique("location_id")]), ("dim_vendors", [unique("vendor_id")]),
+        ("payment_lookup", [unique("payment_type_id")]),
+    ])
+
+
+@register("check_accepted_values")
+def q_check_accepted_values(spark, sf_dir):
+    """Q3: service_type in ('Green', 'Yellow'); NULL passes."""
+    from meterline.operators.quality import accepted_values
+    from meterline.schemas import SERVICE_TYPES
+    av = accepted_values("service_type", list(SERVICE_TYPES))
+    return _run(spark, sf_dir, [("int_trips", [av]), ("fct_trips", [av]),
+                                ("fct_monthly_zone_revenue", [av])])
+
+
+@register("check_relationships")
+def q_check_relationships(spark, sf_dir):
+    """Fact pickup/dropoff zones must exist in dim_zones (NULL passes)."""
+    from meterline.operators.quality import relationships
+    z = zones_dim(spark, sf_dir)
+    return _run(spark, sf_dir, [("fct_trips", [
+        relationships("pickup_location_id", z, "location_id"),
+        relationships("dropoff_location_id", z, "location_id")])])
+
+
+@register("check_unique_combination")
+def q_check_unique_combination(spark, sf_dir):
+    """Q5: the mart grain and the report grain are unique."""
+    from meterline.operators.quality import unique_combination
+    return _run(spark, sf_dir, [
+        ("fct_monthly_zone_revenue", [unique_combination(["pickup_zone", "revenue_month",
+                                                          "service_type"])]),
+        ("trips_report", [unique_combination(["pickup_date", "taxi_type"])]),
+    ])
+
+
+@register("check_non_negative")
+def q_check_non_negative(spark, sf_dir):
+    """Q6: non-negative fares, counts and sums (plus the raw fact fare, which fails)."""
+    from meterline.operators.quality import non_negative as nn
+    return _run(spark, sf_dir, [
+        ("staging_trips", [nn("fare_amount")]),
+        ("trips_report", [nn("total_trips"), nn("total_fare_amount"), nn("total_tip_amount")]),
+        ("fct_trips", [nn("fare_amount")]),
+    ])
+
+
+@register("check_positive")
+def q_check_positive(spark, sf_dir):
+    """Q6: strictly positive values."""
+    from meterline.operators.quality import positive
+    return _run(spark, sf_dir, [
+        ("fct_trips", [positive("trip_distance"), positive("fare_amount")]),
+        ("fct_monthly_zone_revenue", [positive("total_monthly_trips")]),
+    ])
+
+
+@register("check_custom")
+def q_check_custom(spark, sf_dir):
+    """A query's single value must equal the expected one."""
+    from meterline.operators.quality import custom
+    nonempty = custom("row_count_greater_than_zero", lambda d: d.agg(
+        F.when(F.count(F.lit(1)) > 0, 1).otherwise(0).alias("v")), 1)
+    positive_trips = custom("total_trips_positive", lambda d: d.agg(
+        F.when(F.min("total_trips") > 0, 1).otherwise(0).alias("v")), 1)
+    return _run(spark, sf_dir, [("staging_trips", [nonempty]), ("trips_report", [positive_trips])])
+
+
+FRESHNESS_AS_OF = "2001-08-02 01:00:00"
+
+
+@register("check_freshness")
+def q_check_freshness(spark, sf_dir):
+    """Q9: age of the newest pickup per source at a fixed clock; the zone
+    lookup has no loaded-at column and is skipped."""
+    import datetime as dt
+    from meterline.operators.quality import freshness
+    as_of = dt.datetime.fromisoformat(FRESHNESS_AS_OF)
+    return _union([
+        freshness(yellow(spark, sf_dir), "tpep_pickup_datetime", as_of, source="yellow_tripdata"),
+        freshness(adapter.raw_green(spark, sf_dir, False), "lpep_pickup_datetime", as_of,
+                  source="green_tripdata"),
+        freshness(adapter.zones(spark, sf_dir), None, as_of, source="taxi_zone_lookup"),
+    ])
+
+
+@register("check_primary_key")
+def q_check_primary_key(spark, sf_dir):
+    """Q10: declared keys imply not-null + unique; pickup time alone is not a
+    key of the staged trips (reported, as declared)."""
+    from meterline.operators.quality import primary_key
+    return _run(spark, sf_dir, [
+        ("payment_lookup", primary_key(["payment_type_id"])),
+        ("staging_trips", primary_key(["pickup_datetime"])),
+        ("trips_report", primary_key(["pickup_date", "taxi_type"])),
+    ])
+
+
+@register("contract_report")
+def q_contract_report(spark, sf_dir):
+    """Q8: the fact's columns and types against its enforced contract."""
+    from meterline.operators.quality import contract_report, enforce_contract
+    from meterline.schemas import FCT_TRIPS_CONTRACT
+    f = enforce_contract(fact(spark, sf_dir), FCT_TRIPS_CONTRACT)
+    return contract_report(f, FCT_TRIPS_CONTRACT)

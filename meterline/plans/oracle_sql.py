@@ -558,3 +558,150 @@ SELECT payment_type, COUNT(*) AS n,
 FROM mlt WHERE tip_amount IS NOT NULL GROUP BY payment_type""", _TA, _ML),
     "ml_evaluate": with_ctes(_EVAL, _TA, _ML),
 })
+
+
+# --- data-quality checks ------------------------------------------------------------------
+_MODELS = """
+mart AS (
+  SELECT pickup_zone, revenue_month, service_type,
+    SUM(total_amount) AS revenue_monthly_total_amount, COUNT(trip_id) AS total_monthly_trips
+  FROM (SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone,
+          CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month,
+          service_type, trip_id, total_amount FROM fct) k
+  GROUP BY pickup_zone, revenue_month, service_type
+),
+vendors AS (SELECT DISTINCT vendor_id FROM fct),
+plk AS (SELECT * FROM """ + PAYMENT_VALUES + """),
+report AS (
+  SELECT CAST(pickup_datetime AS DATE) AS pickup_date, taxi_type, COUNT(*) AS total_trips,
+    SUM(fare_amount) AS total_fare_amount, SUM(tip_amount) AS total_tip_amount
+  FROM staged GROUP BY 1, 2
+)"""
+
+_TABLE = {"stg_yellow": "stg_yellow", "stg_green": "stg_green", "int_trips": "trips",
+          "fct_trips": "fct", "dim_zones": "zones", "dim_vendors": "vendors",
+          "fct_monthly_zone_revenue": "mart", "payment_lookup": "plk",
+          "staging_trips": "staged", "trips_report": "report"}
+
+
+def _row(model: str, check: str, column: str, failed: str) -> str:
+    return (f"SELECT '{model}' AS model, '{check}' AS check_name, '{column}' AS column_name, "
+            f"CAST(({failed}) AS BIGINT) AS failed_rows")
+
+
+def _nn(model, c):
+    return _row(model, "not_null", c, f"SELECT COUNT(*) FILTER (WHERE {c} IS NULL) FROM {_TABLE[model]}")
+
+
+def _pred(model, check, c, cond):
+    return _row(model, check, c, f"SELECT COUNT(*) FILTER (WHERE {cond}) FROM {_TABLE[model]}")
+
+
+def _dups(model, check, cols, drop_nulls):
+    cl = ", ".join(cols)
+    where = (" WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)) if drop_nulls else ""
+    return _row(model, check, ",".join(cols),
+                f"SELECT COUNT(*) FROM (SELECT {cl} FROM {_TABLE[model]}{where} "
+                f"GROUP BY {cl} HAVING COUNT(*) > 1) d")
+
+
+def _rel(model, c):
+    t = _TABLE[model]
+    return _row(model, "relationships", c,
+                f"SELECT COUNT(*) FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM zones z WHERE z.location_id = x.{c})")
+
+
+def _custom(model, name, value_sql):
+    return _row(model, "custom:" + name, "",
+                f"SELECT CASE WHEN ({value_sql}) = 1 THEN 0 ELSE 1 END FROM {_TABLE[model]}")
+
+
+def _checks(*rows: str) -> str:
+    body = "SELECT *, failed_rows = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(rows) + "\n) c"
+    return with_ctes(body, _TA, _STG, _ING, _MODELS)
+
+
+_CORE = ["trip_id", "vendor_id", "service_type", "pickup_datetime", "total_amount"]
+_ACCEPT = "service_type IS NOT NULL AND service_type NOT IN ('Green', 'Yellow')"
+
+ORACLE.update({
+    "check_not_null": _checks(
+        _nn("stg_yellow", "vendor_id"), _nn("stg_yellow", "pickup_datetime"),
+        _nn("stg_green", "vendor_id"), _nn("stg_green", "pickup_datetime"),
+        *[_nn("int_trips", c) for c in _CORE], *[_nn("fct_trips", c) for c in _CORE],
+        *[_nn("fct_monthly_zone_revenue", c) for c in (
+            "pickup_zone", "revenue_month", "service_type", "revenue_monthly_total_amount",
+            "total_monthly_trips")],
+        _nn("payment_lookup", "payment_type_id"), _nn("payment_lookup", "payment_type_name"),
+        _nn("staging_trips", "pickup_datetime"), _nn("staging_trips", "dropoff_datetime"),
+        _nn("trips_report", "pickup_date")),
+    "check_unique": _checks(
+        _dups("int_trips", "unique", ["trip_id"], True),
+        _dups("fct_trips", "unique", ["trip_id"], True),
+        _dups("dim_zones", "unique", ["location_id"], True),
+        _dups("dim_vendors", "unique", ["vendor_id"], True),
+        _dups("payment_lookup", "unique", ["payment_type_id"], True)),
+    "check_accepted_values": _checks(
+        *[_pred(m, "accepted_values", "service_type", _ACCEPT)
+          for m in ("int_trips", "fct_trips", "fct_monthly_zone_revenue")]),
+    "check_relationships": _checks(_rel("fct_trips", "pickup_location_id"),
+                                   _rel("fct_trips", "dropoff_location_id")),
+    "check_unique_combination": _checks(
+        _dups("fct_monthly_zone_revenue", "unique_combination",
+              ["pickup_zone", "revenue_month", "service_type"], False),
+        _dups("trips_report", "unique_combination", ["pickup_date", "taxi_type"], False)),
+    "check_non_negative": _checks(
+        _pred("staging_trips", "non_negative", "fare_amount", "fare_amount < 0"),
+        *[_pred("trips_report", "non_negative", c, f"{c} < 0")
+          for c in ("total_trips", "total_fare_amount", "total_tip_amount")],
+        _pred("fct_trips", "non_negative", "fare_amount", "fare_amount < 0")),
+    "check_positive": _checks(
+        _pred("fct_trips", "positive", "trip_distance", "trip_distance <= 0"),
+        _pred("fct_trips", "positive", "fare_amount", "fare_amount <= 0"),
+        _pred("fct_monthly_zone_revenue", "positive", "total_monthly_trips",
+              "total_monthly_trips <= 0")),
+    "check_custom": _checks(
+        _custom("staging_trips", "row_count_greater_than_zero",
+                "CASE WHEN COUNT(*) > 0 THEN 1 ELSE 0 END"),
+        _custom("trips_report", "total_trips_positive",
+                "CASE WHEN MIN(total_trips) > 0 THEN 1 ELSE 0 END")),
+    "check_primary_key": _checks(
+        _nn("payment_lookup", "payment_type_id"),
+        _dups("payment_lookup", "unique_combination", ["payment_type_id"], False),
+        _nn("staging_trips", "pickup_datetime"),
+        _dups("staging_trips", "unique_combination", ["pickup_datetime"], False),
+        _nn("trips_report", "pickup_date"), _nn("trips_report", "taxi_type"),
+        _dups("trips_report", "unique_combination", ["pickup_date", "taxi_type"], False)),
+})
+
+
+def _fresh(source: str, table: str, col: str) -> str:
+    age = (f"(epoch_us(TIMESTAMP '2001-08-02 01:00:00') - epoch_us(MAX({col}))) / 3.6e9")
+    return (f"SELECT '{source}' AS source, MAX({col}) AS max_loaded_at, ROUND({age}, 6) AS age_hours, "
+            f"CASE WHEN MAX({col}) IS NULL THEN 'error' WHEN {age} > 48 THEN 'error' "
+            f"WHEN {age} > 24 THEN 'warn' ELSE 'pass' END AS status FROM {table}")
+
+
+ORACLE["check_freshness"] = with_ctes(
+    _fresh("yellow_tripdata", "ta_yellow", "tpep_pickup_datetime") + "\nUNION ALL\n"
+    + _fresh("green_tripdata", "ta_green", "lpep_pickup_datetime") + "\nUNION ALL\n"
+    + "SELECT 'taxi_zone_lookup', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), 'skipped'", _TA)
+
+# Contract of the trip fact: column name and declared type, in order.
+_CONTRACT = [
+    ("trip_id", "string"), ("vendor_id", "int"), ("service_type", "string"),
+    ("rate_code_id", "int"), ("pickup_location_id", "int"), ("pickup_borough", "string"),
+    ("pickup_zone", "string"), ("dropoff_location_id", "int"), ("dropoff_borough", "string"),
+    ("dropoff_zone", "string"), ("pickup_datetime", "timestamp_ntz"),
+    ("dropoff_datetime", "timestamp_ntz"), ("store_and_fwd_flag", "string"),
+    ("passenger_count", "int"), ("trip_distance", "decimal(38,9)"), ("trip_type", "int"),
+    ("trip_duration_minutes", "bigint"), ("fare_amount", "decimal(38,9)"),
+    ("extra", "decimal(38,9)"), ("mta_tax", "decimal(38,9)"), ("tip_amount", "decimal(38,9)"),
+    ("tolls_amount", "decimal(38,9)"), ("ehail_fee", "decimal(38,9)"),
+    ("improvement_surcharge", "decimal(38,9)"), ("total_amount", "decimal(38,9)"),
+    ("payment_type", "int"), ("payment_type_description", "string"),
+]
+ORACLE["contract_report"] = (
+    "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{t}', '{t}', true)" for n, t in _CONTRACT)
+    + ") AS c(column_name, expected_type, actual_type, matches)")
