@@ -17,6 +17,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -149,8 +150,15 @@ def train(df: DataFrame, label: str = LABEL, numeric=None, categorical=None,
     categorical = CATEGORICAL_FEATURES if categorical is None else list(categorical)
     data = _prep(df.filter(F.col(label).isNotNull()), categorical)
     reg, en = penalty(l1, l2)
-    pm = _pipeline(label, numeric, categorical, reg, en).fit(data)
-    return _finish(pm, data, label, numeric, categorical)
+    # Fitting makes several passes (indexer, imputer, solver, statistics):
+    # keep the input in memory/disk for their duration (lost blocks are
+    # recomputed from lineage).
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pm = _pipeline(label, numeric, categorical, reg, en).fit(data)
+        return _finish(pm, data, label, numeric, categorical)
+    finally:
+        data.unpersist()
 
 
 def _orig(c: str) -> str:
@@ -285,6 +293,7 @@ def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categoric
     params = [(round(rng.uniform(*l1_range), 4), rng.choice(list(l2_candidates)))
               for _ in range(trials)]
     data = _prep(split(df.filter(F.col(label).isNotNull()), key, eval_pct), categorical)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     train_rows = data.filter(F.col("split") == "train").drop("split")
     eval_rows = data.filter(F.col("split") == "eval").drop("split")
 
@@ -296,8 +305,11 @@ def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categoric
         r = evaluate(m, eval_rows).first()
         return i, l1, l2, reg, en, r["mean_squared_error"], r["r2_score"], m
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, enumerate(params)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(run, enumerate(params)))
+    finally:
+        data.unpersist()
     spark = df.sparkSession
     table = spark.createDataFrame(
         [r[:7] for r in results],

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.schemas import GREEN_RAW, NUMERIC, YELLOW_RAW
-from meterline.sources.tables import table
+from meterline.sources.tables import spread, table
 
 TIE_BREAKERS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -31,11 +31,22 @@ def _num(v) -> Column:
     return F.lit(v).cast(NUMERIC)
 
 
+_BASES: dict[tuple, DataFrame] = {}
+
+
 def trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Service-independent trip columns, one row per line item."""
-    li = table(spark, sf_dir, "lineitem").select(
+    """Service-independent trip columns, one row per line item (built once
+    per session and data folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BASES:
+        _BASES[key] = _trip_base(spark, sf_dir)
+    return _BASES[key]
+
+
+def _trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"), "l_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -81,7 +81,9 @@ def read_trips_csv(spark: SparkSession, paths, service: str, strict: bool = Fals
     Default (``strict=False``) follows an external table with unknown values
     ignored: extra trailing columns are dropped and a malformed value becomes
     NULL; ``keep_corrupt=True`` adds ``_corrupt_record`` holding the raw line
-    of such rows so they can be counted.  ``strict=True`` fails on them.
+    of such rows so they can be counted (a line with extra trailing values
+    keeps its parsed values and is listed there too).  ``strict=True`` fails
+    on them.
     """
     schema = RAW_SCHEMAS[validate_service(service)]
     reader = spark.read.option("header", True)

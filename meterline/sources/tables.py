@@ -10,13 +10,33 @@ TEST_TABLES = (
 )
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Resolve a logical table name to its parquet data.
 
     Column pruning and filter pushdown reach the scan because nothing here
-    materialises; callers select what they need.
+    materialises; callers select what they need.  The scan handle is reused
+    within a session (file listing and footer reads happen once).
     """
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan that has fewer partitions than the cluster has
+    cores (e.g. one file with a single row group, or one gzip CSV), so the
+    work after it runs in parallel.  A scan that is already split (the usual
+    case for large tables: many files) is returned unchanged, so this adds no
+    shuffle at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
 
 def read_parquet(spark: SparkSession, paths) -> DataFrame:
