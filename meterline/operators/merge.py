@@ -7,7 +7,7 @@ Scale notes:
 * the anti-joins shuffle both sides on the key once; target keys are
   de-duplicated with a partial aggregate first (same partitioning, so the
   join adds no second exchange), and AQE splits a hot left-side key;
-* ``prune_to`` restricts the target to the source's partition range before
+* ``prune_on`` restricts the target to the source's partition range before
   the join, so a monthly batch reads a month of the target, not all of it;
 * the high-water mark is one aggregated row, turned into a literal so the
   filter prunes partitions.
@@ -149,12 +149,8 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str,
     partitions are not read or rewritten.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_table(df, path, "overwrite", parts)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # dynamic overwrite as a write option: no session-wide setting is changed
+    write_table(df, path, "overwrite", parts, options={"partitionOverwriteMode": "dynamic"})
     if emptied:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -80,8 +80,13 @@ def relationships(col: str, parent: DataFrame, field_name: str) -> Check:
     """Child rows with a non-NULL key missing from the parent."""
     def frame(df: DataFrame) -> DataFrame:
         keys = parent.select(F.col(field_name).alias(col)).distinct()
-        orphans = df.select(col).filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
-        return orphans.agg(F.count(F.lit(1)).alias("failed_rows"))
+        # Pre-aggregate the child to (key, rows) first: the anti-join then
+        # shuffles one row per distinct key, so a key holding a third of the
+        # table never lands whole in one task.
+        per_key = (df.select(col).filter(F.col(col).isNotNull())
+                     .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
+        orphans = per_key.join(keys, col, "left_anti")
+        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows"))
     return Check("relationships", col, frame=frame)
 
 

@@ -27,7 +27,7 @@ def with_partition_date(df: DataFrame, ts: str, part_col: str = "pickup_date") -
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by=None, cluster_by=None, fmt: str = "parquet",
-                max_records_per_file: int | None = None) -> str:
+                max_records_per_file: int | None = None, options: dict | None = None) -> str:
     """K1/K2/K4/K6/K7: write ``df`` to ``path``.
 
     ``partition_by`` gives one folder per value (partition pruning on read);
@@ -45,6 +45,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
         w = w.partitionBy(*parts)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
     w.save(path)
     return path
 

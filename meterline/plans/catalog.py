@@ -812,26 +812,52 @@ def _union(frames):
     return out
 
 
-def _models(spark, sf_dir) -> dict:
-    """Lazy builders of every checked model."""
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist a model as a table would be: a reliable checkpoint under the
+    shared folder (spark.checkpoint.dir), which also cuts the lineage so a
+    lost executor never recomputes the upstream chain."""
+    from meterline.session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _models(spark, sf_dir, needed) -> dict:
+    """The checked models.  Models that several others derive from (trips,
+    fact, staged trips) are materialized once, like table models, instead
+    of being recomputed for every suite."""
     from meterline.plans import interval
     from meterline.sources.files import payment_lookup
+    memo: dict[str, DataFrame] = {}
+
+    def get(name, build, keep=False):
+        if name not in memo:
+            memo[name] = materialize(build()) if keep else build()
+        return memo[name]
+
+    uses_trips = needed & {"int_trips", "fct_trips", "dim_vendors", "fct_monthly_zone_revenue"}
+    uses_fact = needed & {"fct_trips", "dim_vendors", "fct_monthly_zone_revenue"}
+    uses_staged = needed & {"staging_trips", "trips_report"}
+    t = lambda: get("t", lambda: trips(spark, sf_dir), keep=len(uses_trips) > 1)
+    f = lambda: get("f", lambda: models.fct_trips(t(), zones_dim(spark, sf_dir)),
+                    keep=len(uses_fact) > 1)
+    st = lambda: get("s", lambda: interval_staged(spark, sf_dir),
+                     keep=len(uses_staged) > 1)
     return {
         "stg_yellow": lambda: staging.stage_yellow(yellow(spark, sf_dir)),
         "stg_green": lambda: staging.stage_green(adapter.raw_green(spark, sf_dir, False)),
-        "int_trips": lambda: trips(spark, sf_dir),
-        "fct_trips": lambda: fact(spark, sf_dir),
+        "int_trips": t,
+        "fct_trips": f,
         "dim_zones": lambda: zones_dim(spark, sf_dir),
-        "dim_vendors": lambda: models.dim_vendors(fact(spark, sf_dir)),
-        "fct_monthly_zone_revenue": lambda: models.monthly_zone_revenue(fact(spark, sf_dir)),
+        "dim_vendors": lambda: models.dim_vendors(f()),
+        "fct_monthly_zone_revenue": lambda: models.monthly_zone_revenue(f()),
         "payment_lookup": lambda: payment_lookup(spark),
-        "staging_trips": lambda: interval_staged(spark, sf_dir),
-        "trips_report": lambda: interval.daily_report(interval_staged(spark, sf_dir), *INTERVAL),
+        "staging_trips": st,
+        "trips_report": lambda: interval.daily_report(st(), *INTERVAL),
     }
 
 
 def _run(spark, sf_dir, plan) -> DataFrame:
-    m = _models(spark, sf_dir)
+    m = _models(spark, sf_dir, {name for name, _ in plan})
     return _union([_suite(name, m[name](), checks) for name, checks in plan])
 
 
