@@ -51,6 +51,22 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def materialize(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write ``df`` once as a parquet table under the shared folder
+    (``spark.checkpoint.dir``) and continue from that table.
+
+    Cuts the lineage like a reliable checkpoint, so a lost executor never
+    recomputes the upstream chain, but computes the plan only once (an
+    un-persisted ``checkpoint()`` runs it a second time to write the
+    checkpoint files) and stores columnar, compressed data that later
+    scans prune and filter.
+    """
+    from meterline.session import new_table_path
+    path = new_table_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def create_if_absent(spark: SparkSession, df: DataFrame, path: str, partition_by=None,
                      cluster_by=None) -> bool:
     """K6: create the table only if ``path`` holds none yet; True if created."""

@@ -487,7 +487,8 @@ def q_merge_insert_only(spark, sf_dir):
                        partition_by="order_date")
     target = spark.read.parquet(path)
     fresh = merge.new_rows(target, keyed.filter(cut_new), "unique_row_id",
-                           prune_on="order_date").checkpoint()
+                           prune_on="order_date")
+    fresh = materialize(fresh, "orders_merge_batch")
     append(fresh, path, partition_by="order_date")
     return spark.read.parquet(path).select("unique_row_id", *ORDER_COLS)
 
@@ -543,7 +544,8 @@ def q_replace_interval(spark, sf_dir):
     # The touched days' new content: old rows of those days outside the interval + new rows.
     day_in = F.col("order_date").between(F.lit(s.date()), F.lit(e.date()))
     touched = merge.replace_interval(target.filter(day_in), rows.select(*target.columns),
-                                     "o_orderdate", s, e).checkpoint()
+                                     "o_orderdate", s, e)
+    touched = materialize(touched, "orders_interval_days")
     present = {r[0] for r in touched.select("order_date").distinct().collect()}
     had = {r[0] for r in target.filter(day_in).select("order_date").distinct().collect()}
     merge.overwrite_partitions(spark, touched, path, "order_date", emptied=sorted(had - present))
@@ -812,13 +814,12 @@ def _union(frames):
     return out
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Persist a model as a table would be: a reliable checkpoint under the
-    shared folder (spark.checkpoint.dir), which also cuts the lineage so a
-    lost executor never recomputes the upstream chain."""
-    from meterline.session import shared_dir
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "model") -> DataFrame:
+    """Persist a model as a table would be: a parquet table under the shared
+    folder (spark.checkpoint.dir), which also cuts the lineage so a lost
+    executor never recomputes the upstream chain."""
+    from meterline.operators.sinks import materialize as write_and_read
+    return write_and_read(df, name)
 
 
 def _models(spark, sf_dir, needed) -> dict:
@@ -831,7 +832,7 @@ def _models(spark, sf_dir, needed) -> dict:
 
     def get(name, build, keep=False):
         if name not in memo:
-            memo[name] = materialize(build()) if keep else build()
+            memo[name] = materialize(build(), f"check_{name}") if keep else build()
         return memo[name]
 
     uses_trips = needed & {"int_trips", "fct_trips", "dim_vendors", "fct_monthly_zone_revenue"}

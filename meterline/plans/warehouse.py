@@ -54,7 +54,8 @@ def load_month(spark: SparkSession, staged: DataFrame, target_path: str) -> int:
     else:
         target = spark.read.parquet(target_path)
         fresh = merge.new_rows(target, staged, "unique_row_id", prune_on=PART_COL)
-    fresh = fresh.checkpoint()  # cut lineage: the append must not re-read its own output
+    # cut lineage: the append must not re-read its own output
+    fresh = sinks.materialize(fresh, "month_batch")
     n = fresh.count()
     if n:
         sinks.append(fresh, target_path, partition_by=PART_COL)
