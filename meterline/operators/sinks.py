@@ -25,6 +25,19 @@ def with_partition_date(df: DataFrame, ts: str, part_col: str = "pickup_date") -
     return df.withColumn(part_col, F.to_date(F.col(ts)))
 
 
+def _laid_out(df: DataFrame, parts: list[str], clusters: list[str]) -> DataFrame:
+    """Rows arranged for a partitioned / clustered write: rebalanced on the
+    partition columns (AQE sizes the tasks and splits a hot value) and
+    sorted inside each task, so a task keeps one file open at a time and
+    the clustering columns are ordered inside every file."""
+    out = df
+    if parts:
+        out = out.hint("rebalance", *parts)
+    if parts or clusters:
+        out = out.sortWithinPartitions(*parts, *clusters)
+    return out
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by=None, cluster_by=None, fmt: str = "parquet",
                 max_records_per_file: int | None = None, options: dict | None = None) -> str:
@@ -34,13 +47,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     ``cluster_by`` sorts rows inside each file so parquet min/max statistics
     skip row groups on those columns.
     """
-    parts, clusters = _as_list(partition_by), _as_list(cluster_by)
-    out = df
-    if parts:
-        out = out.hint("rebalance", *parts)
-    if parts or clusters:
-        out = out.sortWithinPartitions(*parts, *clusters)
-    w = out.write.mode(mode).format(fmt)
+    parts = _as_list(partition_by)
+    w = _laid_out(df, parts, _as_list(cluster_by)).write.mode(mode).format(fmt)
     if parts:
         w = w.partitionBy(*parts)
     if max_records_per_file:
@@ -51,6 +59,24 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
+                partition_by=None, cluster_by=None) -> DataFrame:
+    """K5/K6/K7 as a catalog table whose files live at ``path``.
+
+    The catalog tracks the table's partitions, so a filter on a partition
+    column is resolved against the catalog and only the matching folders
+    are listed; reading a partitioned table by path lists every folder of
+    the table first, which grows with its whole history.  Appends register
+    their new partitions as part of the write.
+    """
+    parts = _as_list(partition_by)
+    w = _laid_out(df, parts, _as_list(cluster_by)).write.mode(mode).format("parquet")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def materialize(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` once as a parquet table under the shared folder
     (``spark.checkpoint.dir``) and continue from that table.

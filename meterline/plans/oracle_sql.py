@@ -705,3 +705,9 @@ _CONTRACT = [
 ORACLE["contract_report"] = (
     "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{t}', '{t}', true)" for n, t in _CONTRACT)
     + ") AS c(column_name, expected_type, actual_type, matches)")
+
+# The layout queries return what their unpartitioned counterparts return.
+ORACLE["distinct_vendors_flat"] = ORACLE["distinct_vendors"]
+ORACLE["distinct_vendors_by_day"] = ORACLE["distinct_vendors"]
+ORACLE["count_range_vendor_by_day"] = ORACLE["count_range_vendor"]
+ORACLE["count_range_vendor_clustered"] = ORACLE["count_range_vendor"]

@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app: str = "meterline",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                extra_conf: dict | None = None) -> SparkSession:
     """Local/test session with the settings the library assumes.
 
     On a cluster the session comes from the launcher; these settings are
@@ -36,6 +37,8 @@ def get_session(master: str | None = None, app: str = "meterline",
     )
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
