@@ -104,6 +104,24 @@ def create_if_absent(spark: SparkSession, df: DataFrame, path: str, partition_by
         return True
 
 
+def create_table_if_absent(spark: SparkSession, df: DataFrame, name: str, path: str,
+                           partition_by=None) -> bool:
+    """K6 for a catalog table: True if the table was created empty (with the
+    schema of ``df``).  Data already at ``path`` (a table written by an
+    earlier session) is registered and its partitions recovered, once."""
+    if spark.catalog.tableExists(name):
+        return False
+    try:
+        spark.read.parquet(path).schema  # noqa: B018
+    except Exception:  # nothing at the path yet
+        save_table(df.limit(0), name, path, "overwrite", partition_by)
+        return True
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return False
+
+
 def replace_empty(df: DataFrame, path: str) -> str:
     """K3: replace the table with an empty one of the same schema."""
     return write_table(df.limit(0), path, "overwrite")

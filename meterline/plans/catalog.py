@@ -750,6 +750,7 @@ def q_file_lineage(spark, sf_dir):
 def q_stream_month_load(spark, sf_dir):
     """Month files picked up by a file stream (two files per
     micro-batch) and merged exactly once; a second run inserts nothing."""
+    import uuid
     from meterline.streaming.month_load import stream_month_load
     from meterline.functions.exprs import month_label
     landing = _scratch(spark, "stream_landing")
@@ -757,9 +758,10 @@ def q_stream_month_load(spark, sf_dir):
     (yellow(spark, sf_dir).repartition(month_label("tpep_pickup_datetime"))
         .write.option("header", True).csv(landing))
     target, ckpt = _scratch(spark, "yellow_target"), _scratch(spark, "yellow_stream_ckpt")
-    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2)
-    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2)
-    t = spark.read.parquet(target)
+    name = f"meterline_yellow_trips_{uuid.uuid4().hex[:8]}"
+    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
+    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
+    t = spark.table(name)
     return t.select("unique_row_id", "VendorID", F.col("tpep_pickup_datetime").alias("pickup_datetime"),
                     F.col("tpep_dropoff_datetime").alias("dropoff_datetime"), "PULocationID",
                     "DOLocationID", money("fare_amount").alias("fare_amount"))

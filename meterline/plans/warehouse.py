@@ -38,25 +38,39 @@ def stage_month(raw: DataFrame, service: str, filename: str | None = None) -> Da
     )
 
 
-def load_month(spark: SparkSession, staged: DataFrame, target_path: str) -> int:
+def load_month(spark: SparkSession, staged: DataFrame, target_path: str,
+               table: str | None = None) -> int:
     """Merge one staged month into the partitioned target; returns rows inserted.
 
     Creates the target when absent, skips an empty batch, and otherwise
     appends only rows whose fingerprint the target lacks (duplicates inside
     the batch are all inserted, as the warehouse MERGE does).  Idempotent:
     loading the same month again inserts nothing.
+
+    With ``table`` the target is a catalog table over ``target_path``: the
+    anti-join's day-range filter is resolved against the catalog's partition
+    list, so a month's merge lists the folders of that month only instead
+    of every day folder of the table's history, and appends register their
+    new days.
     """
-    created = sinks.create_if_absent(spark, staged, target_path, partition_by=PART_COL)
+    if table:
+        created = sinks.create_table_if_absent(spark, staged, table, target_path,
+                                               partition_by=PART_COL)
+    else:
+        created = sinks.create_if_absent(spark, staged, target_path, partition_by=PART_COL)
     if merge.skip_if_empty(staged):
         return 0
     if created:
         fresh = staged
     else:
-        target = spark.read.parquet(target_path)
+        target = spark.table(table) if table else spark.read.parquet(target_path)
         fresh = merge.new_rows(target, staged, "unique_row_id", prune_on=PART_COL)
     # cut lineage: the append must not re-read its own output
     fresh = sinks.materialize(fresh, "month_batch")
     n = fresh.count()
     if n:
-        sinks.append(fresh, target_path, partition_by=PART_COL)
+        if table:
+            sinks.save_table(fresh, table, target_path, "append", partition_by=PART_COL)
+        else:
+            sinks.append(fresh, target_path, partition_by=PART_COL)
     return n

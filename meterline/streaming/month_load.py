@@ -18,8 +18,10 @@ from meterline.schemas import RAW_SCHEMAS
 
 
 def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_path: str,
-                      checkpoint: str, max_files_per_trigger: int | None = None) -> int:
-    """Load every not-yet-seen CSV file in ``src_dir`` into ``target_path``.
+                      checkpoint: str, max_files_per_trigger: int | None = None,
+                      table: str | None = None) -> int:
+    """Load every not-yet-seen CSV file in ``src_dir`` into ``target_path``
+    (registered as catalog table ``table`` when given, see ``load_month``).
 
     Returns the number of rows inserted by this run.
     """
@@ -34,7 +36,7 @@ def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_pa
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         staged = warehouse.stage_month(batch, service)
-        inserted.append(warehouse.load_month(batch.sparkSession, staged, target_path))
+        inserted.append(warehouse.load_month(batch.sparkSession, staged, target_path, table))
 
     q = (raw.writeStream.foreachBatch(merge_batch)
             .option("checkpointLocation", checkpoint)
