@@ -16,11 +16,12 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.operators import sinks
 from meterline.operators.sinks import write_table
 
 
@@ -158,3 +159,33 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str,
             p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{parts[0]}={value}")
             p.getFileSystem(conf).delete(p, True)
     return path
+
+
+def replace_interval_table(spark: SparkSession, rows: DataFrame, name: str, path: str,
+                           column: str, start, end, part_col: str,
+                           part_of: Callable[[Column], Column]) -> None:
+    """K12 on a partitioned catalog table: the table's rows with ``column``
+    in ``[start, end)`` are replaced by ``rows`` in that interval.
+
+    ``part_of`` derives the partition value from ``column`` (a day or month
+    of a timestamp: it must not decrease as ``column`` grows) and ``rows``
+    carry it as ``part_col``.  Only the partitions between those of
+    ``start`` and ``end`` are read and rewritten; their rows outside the
+    interval are kept; partitions left without rows are dropped.  The new
+    content of the touched partitions is written once to the shared folder
+    first, so the overwrite never reads what it replaces.  The partition
+    lists collected here are bounded by the interval, not by the data.
+    """
+    sinks.create_table_if_absent(spark, rows, name, path, partition_by=part_col)
+    target = spark.table(name)
+    ctype = rows.schema[column].dataType
+    b = spark.range(1).select(part_of(F.lit(start).cast(ctype)).alias("lo"),
+                              part_of(F.lit(end).cast(ctype)).alias("hi")).first()
+    kept = target.filter(F.col(part_col).between(F.lit(b["lo"]), F.lit(b["hi"])))
+    new = replace_interval(kept, rows.select(*target.columns), column, start, end)
+    new = sinks.materialize(new, f"{name}_interval")
+    before = {r[0] for r in kept.select(part_col).distinct().collect()}
+    after = {r[0] for r in new.select(part_col).distinct().collect()}
+    if after:
+        sinks.overwrite_table_partitions(new, name, part_col)
+    sinks.drop_table_partitions(spark, name, path, part_col, sorted(before - after))

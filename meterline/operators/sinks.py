@@ -72,11 +72,35 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     parts = _as_list(partition_by)
     w = _laid_out(df, parts, _as_list(cluster_by)).write.mode(mode).format("parquet")
     if parts:
-        w = w.partitionBy(*parts)
+        # stored with the table: INSERT OVERWRITE rewrites only the partitions
+        # it writes rows to (see overwrite_table_partitions)
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
     w.option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def overwrite_table_partitions(df: DataFrame, name: str, partition_by) -> None:
+    """K12/K13 write step on a catalog table made by :func:`save_table`:
+    replace the partitions ``df`` has rows for, leave every other partition
+    untouched (neither read nor rewritten), register new ones."""
+    spark = df.sparkSession
+    cols = spark.table(name).columns  # insertInto matches columns by position
+    out = _laid_out(df.select(*cols), _as_list(partition_by), [])
+    out.write.mode("overwrite").insertInto(name)
+
+
+def drop_table_partitions(spark: SparkSession, name: str, path: str, part_col: str,
+                          values: Sequence) -> None:
+    """Remove partitions (catalog entry and folder) that an interval
+    replacement left without rows."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part_col} = '{v}')")
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part_col}={v}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` once as a parquet table under the shared folder
     (``spark.checkpoint.dir``) and continue from that table.

@@ -212,6 +212,30 @@ def q_interval_daily_report_by_payment(spark, sf_dir):
     return interval.daily_report(interval_staged(spark, sf_dir), *INTERVAL, by_payment=True)
 
 
+INTERVAL_RUNS = [("1990-01-01", "1996-01-01"), ("1996-01-01", "2030-01-01"),
+                 ("1996-01-01", "2030-01-01")]
+
+
+@register("interval_pipeline_runs")
+def q_interval_pipeline_runs(spark, sf_dir):
+    """F2 W2 J2 A8 K12 (flow C end to end): three scheduled runs into
+    persisted staging and report tables - two adjacent intervals, then the
+    second again.  The report table equals one report over the whole range;
+    the rerun replaces its interval with the same rows."""
+    import uuid
+    from meterline.plans import interval
+    from meterline.sources.files import payment_lookup
+    tag = uuid.uuid4().hex[:8]
+    tables = interval.IntervalTables(
+        f"meterline_staging_trips_{tag}", _scratch(spark, "staging_trips"),
+        f"meterline_trips_report_{tag}", _scratch(spark, "trips_report"))
+    for start, end in INTERVAL_RUNS:
+        interval.run_interval(spark, adapter.interval_raw(spark, sf_dir), payment_lookup(spark),
+                              start, end, tables, extracted_at=EXTRACTED_AT,
+                              tie_breakers=adapter.TIE_BREAKERS)
+    return spark.table(tables.report).drop(interval.MONTH_COL)
+
+
 @register("top_payment_types")
 def q_top_payment_types(spark, sf_dir):
     """The 10 payment types with most staged trips."""

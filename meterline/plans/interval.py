@@ -1,17 +1,18 @@
 """Interval pipeline: ingest -> staged trips -> daily report (U2, P5-P7, F2,
-W2, J2, A8, A9, V1, V2).
+W2, J2, A8, A9, V1, V2, K12).
 
 Each step is a pure DataFrame function over a half-open run interval
-``[start, end)``; writing the result with :func:`operators.merge.replace_interval`
-replaces exactly that interval of the target.
+``[start, end)``; :func:`run_interval` chains them and replaces exactly that
+interval of the persisted staging and report tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators.dedup import dedup_first
@@ -115,9 +116,12 @@ def exact_avg(c: str):
     return exact_sum(c) / F.nullif(F.count(c), F.lit(0))
 
 
-def daily_report(staged: DataFrame, start, end, by_payment: bool = False) -> DataFrame:
+def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
+                 ordered: bool = True) -> DataFrame:
     """reports.trips_report: per day and taxi type (and payment type when
-    ``by_payment``): trips, fare/tip/distance sums and averages, sorted."""
+    ``by_payment``): trips, fare/tip/distance sums and averages, sorted
+    (``ordered=False`` skips the global sort, e.g. when the report is
+    written to a table)."""
     s, e = _check_bounds(start, end, "date")
     keys = [F.to_date("pickup_datetime").alias("pickup_date"), F.col("taxi_type")]
     if by_payment:
@@ -131,5 +135,56 @@ def daily_report(staged: DataFrame, start, end, by_payment: bool = False) -> Dat
                     exact_avg("tip_amount").alias("avg_tip_amount"),
                     exact_sum("trip_distance").alias("total_trip_distance"),
                     exact_avg("trip_distance").alias("avg_trip_distance")))
+    if not ordered:
+        return g
     order = ["pickup_date", "taxi_type"] + (["payment_type"] if by_payment else [])
     return g.orderBy(*order)
+
+
+# --- one run of the pipeline, persisted ---------------------------------------------------
+
+MONTH_COL = "pickup_month"
+
+
+def month_of(c: Column) -> Column:
+    """Partition value of a pickup time or day: the first day of its month."""
+    return F.trunc(F.to_date(c), "month")
+
+
+@dataclass(frozen=True)
+class IntervalTables:
+    """Catalog names and folders (under the shared folder) of the persisted
+    staging and report tables."""
+    staging: str
+    staging_path: str
+    report: str
+    report_path: str
+
+
+def run_interval(spark: SparkSession, frames_by_service: Mapping[str, DataFrame],
+                 lookup: DataFrame, start, end, tables: IntervalTables, extracted_at=None,
+                 tie_breakers: Sequence[str] | None = None) -> None:
+    """One scheduled run for ``[start, end)``: ingest -> staged trips ->
+    daily report, where both persisted tables replace exactly the run's
+    interval (the time-interval strategy, K12), so reruns and backfills
+    are idempotent.
+
+    Both tables are partitioned by pickup month: a run lists, reads and
+    rewrites only the months its interval touches, however long the
+    tables' history.  The report is built from the staging *table*, so a
+    run that re-stages part of a month reports it from the full month's
+    rows.  Bounds must be day-aligned (the report is date-granular).
+    """
+    from meterline.operators.merge import replace_interval_table
+    s, e = _check_bounds(start, end, "date")
+    carry = list(tie_breakers or [])
+    staged = interval_staging(ingest(frames_by_service, extracted_at, carry=carry), lookup,
+                              s, e, tie_breakers=tie_breakers)
+    staged = staged.withColumn(MONTH_COL, month_of(F.col("pickup_datetime")))
+    replace_interval_table(spark, staged, tables.staging, tables.staging_path,
+                           "pickup_datetime", s, e, MONTH_COL, month_of)
+    months = F.col(MONTH_COL).between(month_of(F.lit(s.date())), month_of(F.lit(e.date())))
+    report = daily_report(spark.table(tables.staging).filter(months), s, e, ordered=False)
+    report = report.withColumn(MONTH_COL, month_of(F.col("pickup_date")))
+    replace_interval_table(spark, report, tables.report, tables.report_path,
+                           "pickup_date", s.date(), e.date(), MONTH_COL, month_of)
