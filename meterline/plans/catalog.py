@@ -619,27 +619,23 @@ REPLACE_START, REPLACE_END = "1997-01-01", "1998-01-01"
 
 @register("replace_interval")
 def q_replace_interval(spark, sf_dir):
-    """Replace one year of a day-partitioned table; only that year's
-    partitions are rewritten, and days left without rows are removed."""
+    """Replace one year of a day-partitioned catalog table; only that
+    year's partitions are listed and rewritten, and days left without rows
+    are removed."""
     import datetime as dt
+    import uuid
     from meterline.operators import merge
-    from meterline.operators.sinks import with_partition_date, write_table
+    from meterline.operators.sinks import save_table, with_partition_date
     o = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
-    path = write_table(o, _scratch(spark, "orders_interval"), partition_by="order_date")
+    name, path = f"meterline_orders_interval_{uuid.uuid4().hex[:8]}", _scratch(spark, "orders_interval")
+    save_table(o, name, path, partition_by="order_date")
     s, e = dt.datetime.fromisoformat(REPLACE_START), dt.datetime.fromisoformat(REPLACE_END)
     rows = (o.filter(merge.in_interval("o_orderdate", s, e))
              .filter(F.col("o_orderstatus") != "P")
              .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    target = spark.read.parquet(path)
-    # The touched days' new content: old rows of those days outside the interval + new rows.
-    day_in = F.col("order_date").between(F.lit(s.date()), F.lit(e.date()))
-    touched = merge.replace_interval(target.filter(day_in), rows.select(*target.columns),
-                                     "o_orderdate", s, e)
-    touched = materialize(touched, "orders_interval_days")
-    present = {r[0] for r in touched.select("order_date").distinct().collect()}
-    had = {r[0] for r in target.filter(day_in).select("order_date").distinct().collect()}
-    merge.overwrite_partitions(spark, touched, path, "order_date", emptied=sorted(had - present))
-    return spark.read.parquet(path).select(*ORDER_COLS)
+    merge.replace_interval_table(spark, rows, name, path, "o_orderdate", s, e, "order_date",
+                                 F.to_date)
+    return spark.table(name).select(*ORDER_COLS)
 
 
 @register("delete_insert")
