@@ -657,21 +657,28 @@ def q_delete_insert(spark, sf_dir):
 
 @register("incremental_fact")
 def q_incremental_fact(spark, sf_dir):
-    """First run on an empty target, second run merges
-    only trips after the target's high-water mark (upsert on trip_id)."""
+    """First run on an absent target, second run merges
+    only trips after the target's high-water mark (upsert on trip_id) into
+    the month-partitioned fact table; the mark reads the newest month only
+    and the merge rewrites only the months the batch touches."""
+    import uuid
+    from meterline.functions.exprs import month_start
     from meterline.operators import merge
-    from meterline.operators.sinks import write_table
+    name, path = f"meterline_fct_trips_{uuid.uuid4().hex[:8]}", _scratch(spark, "fct_trips")
+
+    def monthly(df: DataFrame) -> DataFrame:
+        return df.withColumn("pickup_month", month_start("pickup_datetime"))
+
     full = fact(spark, sf_dir)
     first = merge.incremental_rows(
         full.filter(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")),
         None, "pickup_datetime")
-    path = write_table(first, _scratch(spark, "fct_trips_v1"))
-    target = spark.read.parquet(path)
-    new = merge.incremental_rows(fact(spark, sf_dir), target, "pickup_datetime")
-    nxt = merge.merge_upsert(target, new, "trip_id")
-    out = spark.read.parquet(merge.write_new_version(nxt, _scratch(spark, "fct_trips_v2")))
-    return out.select("trip_id", "pickup_datetime", "service_type",
-                      money("total_amount").alias("total_amount"))
+    merge.merge_upsert_table(spark, monthly(first), name, path, "trip_id", "pickup_month")
+    new = merge.incremental_rows(monthly(fact(spark, sf_dir)), spark.table(name),
+                                 "pickup_datetime", part_col="pickup_month")
+    merge.merge_upsert_table(spark, new, name, path, "trip_id", "pickup_month")
+    return spark.table(name).select("trip_id", "pickup_datetime", "service_type",
+                                    money("total_amount").alias("total_amount"))
 
 
 # --- CSV sources --------------------------------------------------------------------------
