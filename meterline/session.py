@@ -8,6 +8,7 @@ pick our own folder.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -44,6 +45,38 @@ def get_session(master: str | None = None, app: str = "meterline",
     return spark
 
 
+# Target size of one task's input and of one shuffle partition.
+TASK_BYTES = 256 * 1024 ** 2
+
+
+def scale_settings(scan_bytes: int, total_cores: int) -> dict[str, str]:
+    """Session settings for a cluster run whose largest shuffle carries about
+    ``scan_bytes`` (the scanned bytes after column pruning) on
+    ``total_cores`` executor cores; pass them to the launcher (or to
+    ``get_session(extra_conf=...)``).
+
+    The shuffle starts with one partition per ~256 MB (at least two per
+    core) and AQE coalesces partitions that filters made small, so no
+    reducer spills because 100 TB met the default 200 partitions; file
+    splits are 256 MB; skewed join partitions and hot rebalance partitions
+    (a day holding a third of the rows) are split at the same size.
+    """
+    parts = max(2 * int(total_cores), math.ceil(int(scan_bytes) / TASK_BYTES))
+    size = str(TASK_BYTES)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for written tables and checkpoints.
 
