@@ -20,6 +20,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.operators import sinks
 from meterline.operators.sinks import write_table
@@ -191,8 +192,12 @@ def replace_interval_table(spark: SparkSession, rows: DataFrame, name: str, path
     sinks.create_table_if_absent(spark, rows, name, path, partition_by=part_col)
     target = spark.table(name)
     ctype = rows.schema[column].dataType
+    # the interval is half-open: its last partition holds the last instant before ``end``
+    last = F.lit(end).cast(ctype)
+    last = (F.date_sub(last, 1) if isinstance(ctype, T.DateType)
+            else last - F.expr("INTERVAL 1 MICROSECOND"))
     b = spark.range(1).select(part_of(F.lit(start).cast(ctype)).alias("lo"),
-                              part_of(F.lit(end).cast(ctype)).alias("hi")).first()
+                              part_of(last).alias("hi")).first()
     kept = target.filter(F.col(part_col).between(F.lit(b["lo"]), F.lit(b["hi"])))
     new = replace_interval(kept, rows.select(*target.columns), column, start, end)
     new = sinks.materialize(new, f"{name}_interval")
