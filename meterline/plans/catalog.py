@@ -222,13 +222,11 @@ def q_interval_pipeline_runs(spark, sf_dir):
     persisted staging and report tables - two adjacent intervals, then the
     second again.  The report table equals one report over the whole range;
     the rerun replaces its interval with the same rows."""
-    import uuid
     from meterline.plans import interval
     from meterline.sources.files import payment_lookup
-    tag = uuid.uuid4().hex[:8]
     tables = interval.IntervalTables(
-        f"meterline_staging_trips_{tag}", _scratch(spark, "staging_trips"),
-        f"meterline_trips_report_{tag}", _scratch(spark, "trips_report"))
+        _table_name(spark, "staging_trips"), _scratch(spark, "staging_trips"),
+        _table_name(spark, "trips_report"), _scratch(spark, "trips_report"))
     for start, end in INTERVAL_RUNS:
         interval.run_interval(spark, adapter.interval_raw(spark, sf_dir), payment_lookup(spark),
                               start, end, tables, extracted_at=EXTRACTED_AT,
@@ -394,6 +392,21 @@ def _scratch(spark, name: str) -> str:
     return new_table_path(spark, name)
 
 
+WORK_DB = "meterline_work"
+
+
+def _table_name(spark, stem: str) -> str:
+    """A fresh catalog name in the work database (located under the shared
+    folder); ``DROP DATABASE meterline_work CASCADE`` removes every table
+    the registered queries created."""
+    import uuid
+    from meterline.session import shared_dir
+    if not spark.catalog.databaseExists(WORK_DB):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DB} "
+                  f"LOCATION '{shared_dir(spark).rstrip('/')}/catalog'")
+    return f"{WORK_DB}.{stem}_{uuid.uuid4().hex[:8]}"
+
+
 def orders(spark, sf_dir) -> DataFrame:
     from meterline.sources.tables import table
     return table(spark, sf_dir, "orders")
@@ -407,12 +420,11 @@ ORDER_FP = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderp
 def partitioned_orders(spark, sf_dir, cluster_by=None) -> DataFrame:
     """K6/K7: orders saved once per session as a catalog table partitioned by
     order day (optionally clustered), so day filters list only their folders."""
-    import uuid
     from meterline.operators.sinks import save_table, with_partition_date
     key = (spark.sparkContext.applicationId, sf_dir, cluster_by)
     if key not in _WRITTEN:
         df = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
-        name = f"meterline_orders_by_day_{uuid.uuid4().hex[:8]}"
+        name = _table_name(spark, "orders_by_day")
         save_table(df, name, _scratch(spark, "orders_by_day"), partition_by="order_date",
                    cluster_by=cluster_by)
         _WRITTEN[key] = name
@@ -460,12 +472,11 @@ TRIP_LAYOUTS = {
 def trips_layout(spark, sf_dir, layout: str) -> DataFrame:
     """K5/K6/K7: yellow trips saved once per session as a catalog table in
     one of TRIP_LAYOUTS (partition filters list only the matching folders)."""
-    import uuid
     from meterline.operators.sinks import save_table, with_partition_date
     key = (spark.sparkContext.applicationId, sf_dir, "trips", layout)
     if key not in _WRITTEN:
         df = with_partition_date(yellow(spark, sf_dir), PICK, "pickup_date")
-        name = f"meterline_yellow_{layout}_{uuid.uuid4().hex[:8]}"
+        name = _table_name(spark, f"yellow_{layout}")
         save_table(df, name, _scratch(spark, f"yellow_{layout}"), **TRIP_LAYOUTS[layout])
         _WRITTEN[key] = name
     return spark.table(_WRITTEN[key])
@@ -623,11 +634,10 @@ def q_replace_interval(spark, sf_dir):
     year's partitions are listed and rewritten, and days left without rows
     are removed."""
     import datetime as dt
-    import uuid
     from meterline.operators import merge
     from meterline.operators.sinks import save_table, with_partition_date
     o = with_partition_date(orders(spark, sf_dir), "o_orderdate", "order_date")
-    name, path = f"meterline_orders_interval_{uuid.uuid4().hex[:8]}", _scratch(spark, "orders_interval")
+    name, path = _table_name(spark, "orders_interval"), _scratch(spark, "orders_interval")
     save_table(o, name, path, partition_by="order_date")
     s, e = dt.datetime.fromisoformat(REPLACE_START), dt.datetime.fromisoformat(REPLACE_END)
     rows = (o.filter(merge.in_interval("o_orderdate", s, e))
@@ -661,10 +671,9 @@ def q_incremental_fact(spark, sf_dir):
     only trips after the target's high-water mark (upsert on trip_id) into
     the month-partitioned fact table; the mark reads the newest month only
     and the merge rewrites only the months the batch touches."""
-    import uuid
     from meterline.functions.exprs import month_start
     from meterline.operators import merge
-    name, path = f"meterline_fct_trips_{uuid.uuid4().hex[:8]}", _scratch(spark, "fct_trips")
+    name, path = _table_name(spark, "fct_trips"), _scratch(spark, "fct_trips")
 
     def monthly(df: DataFrame) -> DataFrame:
         return df.withColumn("pickup_month", month_start("pickup_datetime"))
@@ -777,7 +786,6 @@ def q_file_lineage(spark, sf_dir):
 def q_stream_month_load(spark, sf_dir):
     """Month files picked up by a file stream (two files per
     micro-batch) and merged exactly once; a second run inserts nothing."""
-    import uuid
     from meterline.streaming.month_load import stream_month_load
     from meterline.functions.exprs import month_label
     landing = _scratch(spark, "stream_landing")
@@ -785,7 +793,7 @@ def q_stream_month_load(spark, sf_dir):
     (yellow(spark, sf_dir).repartition(month_label("tpep_pickup_datetime"))
         .write.option("header", True).csv(landing))
     target, ckpt = _scratch(spark, "yellow_target"), _scratch(spark, "yellow_stream_ckpt")
-    name = f"meterline_yellow_trips_{uuid.uuid4().hex[:8]}"
+    name = _table_name(spark, "yellow_trips")
     stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
     stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
     t = spark.table(name)
