@@ -50,6 +50,9 @@ HEADLINE = [
     "delete_insert",
     "ml_feature_info",
     "ml_predict_categorical",
+    # persisted flows: incremental fact (two runs), interval pipeline (three runs)
+    "incremental_fact",
+    "interval_pipeline_runs",
 ]
 
 # (unpartitioned, partitioned) and (partitioned, partitioned + clustered)
