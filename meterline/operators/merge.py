@@ -189,8 +189,12 @@ def replace_interval_table(spark: SparkSession, rows: DataFrame, name: str, path
     first, so the overwrite never reads what it replaces.  The partition
     lists collected here are bounded by the interval, not by the data.
     """
-    sinks.create_table_if_absent(spark, rows, name, path, partition_by=part_col)
+    created = sinks.create_table_if_absent(spark, rows, name, path, partition_by=part_col)
     target = spark.table(name)
+    if created:  # first run: the interval's rows are the whole table
+        inside = rows.select(*target.columns).filter(in_interval(column, start, end))
+        sinks.overwrite_table_partitions(inside, name, part_col)
+        return
     ctype = rows.schema[column].dataType
     # the interval is half-open: its last partition holds the last instant before ``end``
     last = F.lit(end).cast(ctype)
@@ -222,26 +226,24 @@ def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path:
     ks = _keys(key)
     created = sinks.create_table_if_absent(spark, source, name, path, partition_by=part_col)
     target = spark.table(name)
-    if not created:
-        known = {c.lower() for c in target.columns}
-        extra = [f for f in source.schema.fields if f.name.lower() not in known]
-        if extra and not append_new_columns:
-            source = source.drop(*[f.name for f in extra])
-        elif extra:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
-            spark.catalog.refreshTable(name)
-            target = spark.table(name)
+    if created:  # first run: nothing to merge with, write the batch once
+        sinks.overwrite_table_partitions(source.select(*target.columns), name, part_col)
+        return spark.table(name).count()
+    known = {c.lower() for c in target.columns}
+    extra = [f for f in source.schema.fields if f.name.lower() not in known]
+    if extra and not append_new_columns:
+        source = source.drop(*[f.name for f in extra])
+    elif extra:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
+        spark.catalog.refreshTable(name)
+        target = spark.table(name)
     # the batch is computed once; the empty check then reads the written copy
     new = sinks.materialize(source.select(*target.columns), f"{name}_batch")
     n = new.count()
     if n == 0:  # K16
         return 0
-    if created:
-        merged = new
-    else:
-        touched = prune_target(target, new, part_col)
-        merged = touched.join(new.select(*ks).distinct(), ks, "left_anti").unionByName(new)
-        merged = sinks.materialize(merged, f"{name}_merged")
-    sinks.overwrite_table_partitions(merged, name, part_col)
+    touched = prune_target(target, new, part_col)
+    merged = touched.join(new.select(*ks).distinct(), ks, "left_anti").unionByName(new)
+    sinks.overwrite_table_partitions(sinks.materialize(merged, f"{name}_merged"), name, part_col)
     return n
