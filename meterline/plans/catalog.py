@@ -743,7 +743,9 @@ def landed_months(spark, sf_dir) -> str:
                          ("green", adapter.raw_green(spark, sf_dir, False))):
             pick = "tpep_pickup_datetime" if svc == "yellow" else "lpep_pickup_datetime"
             name = F.concat(F.lit(f"{svc}_tripdata_"), month_label(pick), F.lit(".csv"))
-            (raw.withColumn("month_file", name).repartition("month_file")
+            # rebalance, not repartition: AQE splits a hot month over several
+            # tasks (files in the month's folder) instead of one task
+            (raw.withColumn("month_file", name).hint("rebalance", "month_file")
                 .write.option("header", True).partitionBy("month_file").mode("append").csv(base))
         _WRITTEN[key] = base
     return _WRITTEN[key]
@@ -784,18 +786,21 @@ def q_file_lineage(spark, sf_dir):
 
 @register("stream_month_load")
 def q_stream_month_load(spark, sf_dir):
-    """Month files picked up by a file stream (two files per
+    """Month files picked up by a file stream (30 month files per
     micro-batch) and merged exactly once; a second run inserts nothing."""
     from meterline.streaming.month_load import stream_month_load
     from meterline.functions.exprs import month_label
     landing = _scratch(spark, "stream_landing")
-    # Files hold whole months, as month files do (rows sharing a pickup land together).
-    (yellow(spark, sf_dir).repartition(month_label("tpep_pickup_datetime"))
-        .write.option("header", True).csv(landing))
+    # One folder per month; files hold rows of one month (rows sharing a pickup
+    # land together), and AQE splits a hot month over several files.
+    (yellow(spark, sf_dir).withColumn("month", month_label("tpep_pickup_datetime"))
+        .hint("rebalance", "month")
+        .write.option("header", True).partitionBy("month").csv(landing))
     target, ckpt = _scratch(spark, "yellow_target"), _scratch(spark, "yellow_stream_ckpt")
     name = _table_name(spark, "yellow_trips")
-    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
-    stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=2, table=name)
+    for _ in range(2):
+        stream_month_load(spark, landing, "yellow", target, ckpt, max_files_per_trigger=30,
+                          table=name, recursive=True)
     t = spark.table(name)
     return t.select("unique_row_id", "VendorID", F.col("tpep_pickup_datetime").alias("pickup_datetime"),
                     F.col("tpep_dropoff_datetime").alias("dropoff_datetime"), "PULocationID",

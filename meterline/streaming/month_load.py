@@ -19,14 +19,17 @@ from meterline.schemas import RAW_SCHEMAS
 
 def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_path: str,
                       checkpoint: str, max_files_per_trigger: int | None = None,
-                      table: str | None = None) -> int:
+                      table: str | None = None, recursive: bool = False) -> int:
     """Load every not-yet-seen CSV file in ``src_dir`` into ``target_path``
-    (registered as catalog table ``table`` when given, see ``load_month``).
+    (registered as catalog table ``table`` when given, see ``load_month``);
+    ``recursive`` also picks up files in sub-folders (one folder per month).
 
     Returns the number of rows inserted by this run.
     """
     reader = (spark.readStream.schema(RAW_SCHEMAS[service])
               .option("header", True).option("mode", "PERMISSIVE"))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     # The file name must be taken from the stream's scan: a micro-batch frame
