@@ -46,7 +46,7 @@ def trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"), "l_orderkey")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

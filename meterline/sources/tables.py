@@ -27,16 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _SCANS[key]
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan that has fewer partitions than the cluster has
-    cores (e.g. one file with a single row group, or one gzip CSV), so the
-    work after it runs in parallel.  A scan that is already split (the usual
-    case for large tables: many files) is returned unchanged, so this adds no
-    shuffle at scale."""
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has
+    cores (e.g. one file with a single row group, or one gzip CSV) over all
+    cores, so the work after it runs in parallel.  Round-robin, not by key:
+    a key holding a third of the rows still spreads evenly.  A scan that is
+    already split (the usual case for large tables: many files) is returned
+    unchanged, so this adds no shuffle at scale."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    return df.repartition(slots, *keys) if keys else df.repartition(slots)
+    return df.repartition(slots)
 
 
 def read_parquet(spark: SparkSession, paths) -> DataFrame:
