@@ -136,10 +136,14 @@ def _finish(pm: PipelineModel, df: DataFrame, label, numeric, categorical) -> Ti
         row = df.agg(*[F.avg(c).alias(c) for c in numeric]).first()
         means = {c: float(row[c]) if row[c] is not None else 0.0 for c in numeric}
     freqs = {}
-    total = df.count() if categorical else 0
+    total = None
     for c in categorical:
-        # one row per category: bounded by the model's own size
-        freqs[c] = {r[c]: r["count"] / total for r in df.groupBy(c).count().collect()}
+        # one row per category: bounded by the model's own size; the counts
+        # of any one column sum to the row count (no separate count pass)
+        counts = df.groupBy(c).count().collect()
+        if total is None:
+            total = sum(r["count"] for r in counts)
+        freqs[c] = {r[c]: r["count"] / total for r in counts}
     return TipModel(pm, label, list(numeric), list(categorical), labels, means, freqs)
 
 
