@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from .packing import op3_best_fit_packing
 from .substring import op6_substring_dedup
 from .suffix_array import op1_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op6_substring_dedup,
+    op1_suffix_array_dedup, op3_best_fit_packing, op6_substring_dedup,
 )}
 
 ORACLE: dict[str, str] = {}
