@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe_codec
+from .exact import OP2_SQL, op2_exact_dedup
 from .packing import op3_best_fit_packing
 from .substring import op6_substring_dedup
 from .suffix_array import op1_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op3_best_fit_packing, op6_substring_dedup,
+    op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op6_substring_dedup,
     op10_bpe_codec,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+}
