@@ -32,23 +32,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, text): ``rid`` orders documents by id and is unique.
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               extra: tuple[str, ...] = (), nulls_last: bool = True) -> DataFrame:
+    """(rid, doc_id, text, *extra): ``rid`` orders rows by id and is unique.
 
     With unique, non-null ids (checked by one pass over the id column) rid
     is the id itself and nothing moves.  Otherwise rows are sorted by id
-    (nulls last), then text, numbered in that order, and written once: a
-    repeated id is a document of its own, and its twins are copies.
+    (nulls last, or first), then text, numbered in that order, and written
+    once: a repeated id is a row of its own, and its twins are copies.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                       *[F.col(x) for x in extra])
     ids = base.select("doc_id").groupBy("doc_id").count()
     odd = ids.agg(F.max(F.when(F.col("doc_id").isNull() | (F.col("count") > 1), 1))).first()[0]
     if not odd:
-        return base.select(F.col("doc_id").alias("rid"), "doc_id", "text")
+        return base.select(F.col("doc_id").alias("rid"), "*")
+    by_id = F.col("doc_id").asc_nulls_last() if nulls_last else F.col("doc_id").asc_nulls_first()
     # ids of sorted partitions grow with the sort order; writing pins them
-    ranked = base.orderBy(F.col("doc_id").asc_nulls_last(), "text").select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    ranked = base.orderBy(by_id, "text", *extra).select(
+        F.monotonically_increasing_id().alias("rid"), "*")
     return materialize(ranked, "identified")
 
 

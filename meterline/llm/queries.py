@@ -7,12 +7,15 @@ from .exact import OP2_SQL, op2_exact_dedup
 from .packing import op3_best_fit_packing
 from .substring import op6_substring_dedup
 from .suffix_array import op1_suffix_array_dedup
+from .warc import OP4_SQL, op4_warc
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op6_substring_dedup,
+    op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
+    op6_substring_dedup,
     op10_bpe_codec,
 )}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
+    "op4_warc": OP4_SQL,
 }
