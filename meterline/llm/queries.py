@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op10_bpe_codec
 from .exact import OP2_SQL, op2_exact_dedup
 from .packing import op3_best_fit_packing
+from .repetition import op9_repetition_rules
 from .substring import op6_substring_dedup
 from .suffix_array import op1_suffix_array_dedup
 from .warc import OP4_SQL, op4_warc
@@ -12,7 +13,7 @@ from .warc import OP4_SQL, op4_warc
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
     op6_substring_dedup,
-    op10_bpe_codec,
+    op9_repetition_rules, op10_bpe_codec,
 )}
 
 ORACLE: dict[str, str] = {
