@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op10_bpe_codec
 from .exact import OP2_SQL, op2_exact_dedup
+from .minhash import op5_minhash_near_dedup
 from .packing import op3_best_fit_packing
 from .repetition import op9_repetition_rules
 from .substring import op6_substring_dedup
@@ -12,7 +13,7 @@ from .warc import OP4_SQL, op4_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
-    op6_substring_dedup,
+    op5_minhash_near_dedup, op6_substring_dedup,
     op9_repetition_rules, op10_bpe_codec,
 )}
 
