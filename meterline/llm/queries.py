@@ -9,11 +9,12 @@ from .packing import op3_best_fit_packing
 from .repetition import op9_repetition_rules
 from .substring import op6_substring_dedup
 from .suffix_array import op1_suffix_array_dedup
+from .toxicity import op7_toxicity
 from .warc import OP4_SQL, op4_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
-    op5_minhash_near_dedup, op6_substring_dedup,
+    op5_minhash_near_dedup, op6_substring_dedup, op7_toxicity,
     op9_repetition_rules, op10_bpe_codec,
 )}
 
