@@ -36,6 +36,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # else every state partition sets 4 MB aside, however little it holds
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
