@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op10_bpe_codec
 from .exact import OP2_SQL, op2_exact_dedup
+from .line_templates import OP8_SQL, op8_line_templates
 from .minhash import op5_minhash_near_dedup
 from .packing import op3_best_fit_packing
 from .repetition import op9_repetition_rules
@@ -15,10 +16,12 @@ from .warc import OP4_SQL, op4_warc
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
     op5_minhash_near_dedup, op6_substring_dedup, op7_toxicity,
+    op8_line_templates,
     op9_repetition_rules, op10_bpe_codec,
 )}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op4_warc": OP4_SQL,
+    "op8_line_templates": OP8_SQL,
 }
