@@ -86,9 +86,12 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     """One row per row of the Parquet table at ``path``."""
     state = state or f"{shared_dir(spark).rstrip('/')}/state/exact-{uuid.uuid4().hex[:12]}"
     entries = keyed_state(spark, path, state, id_col, text_col)
-    rows = digested(spark.read.parquet(path), id_col, text_col).join(entries, "digest")
-    stays = F.col("at") == F.col("first")
-    kept = rows.filter(stays & (F.col("size") > 1)).select("digest", F.col("text").alias("kept_text"))
+    # texts move once; those of groups are kept for the comparison
+    rows = materialize(
+        digested(spark.read.parquet(path), id_col, text_col).join(entries, "digest")
+        .withColumn("text", F.when(F.col("size") > 1, F.col("text"))), "met")
+    kept = rows.filter((F.col("at") == F.col("first")) & (F.col("size") > 1)).select(
+        "digest", F.col("text").alias("kept_text"))
     checked = materialize(
         rows.join(kept, "digest", "left")
         .withColumn("same", (F.col("size") == 1) | (F.col("text") == F.col("kept_text")))
