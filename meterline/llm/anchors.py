@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import FIRST, SECOND, SLICE, U64, list_slices, mix, sorted_by, text_buffer
 
@@ -183,15 +184,15 @@ def frequent_keys(docs: DataFrame, symbols_of: Callable, width: int, k: int) ->
 
 
 def repeated(docs: DataFrame, width: int, k: int, symbols_of: Callable, context_of: Callable,
-             resolve: Callable, cut: Callable, cut_ddl: str) -> DataFrame:
+             resolve: Callable, cut: Callable, cut_schema: T.StructType) -> DataFrame:
     """The whole job as one plan.
 
     ``symbols_of(data, offsets)`` gives symbols and their row offsets,
     ``context_of(text, a, o1, o2)`` the bytes the windows touch, ``resolve``
     (a block of contexts sorted by key, rid, a) the repeated spans in
-    symbols, and ``cut`` is the mapInArrow function from (rid, doc_id, text,
-    marks, found) to the result.  The texts and the marks are shuffled by
-    rid once: both joins read the same exchanges.
+    symbols, and ``cut`` is the mapInArrow function from ``docs`` with marks
+    and found to the result.  The texts and the marks are shuffled by rid
+    once: both joins read the same exchanges.
     """
     hot = frequent_keys(docs, symbols_of, width, k)
     rows = docs.select("rid", "text").mapInArrow(extract(symbols_of, width, k, hot), ROW_DDL)
@@ -204,12 +205,12 @@ def repeated(docs: DataFrame, width: int, k: int, symbols_of: Callable, context_
     by_doc = marks.groupBy("rid").agg(F.collect_list(F.struct(
         "key", "a", "o1", "o2", (F.col("spans").isNull() & (F.col("rn") == 1)).alias("open"),
         "spans")).alias("marks"))
-    joined = docs.select("rid", "doc_id", "text").join(by_doc, "rid", "left")
+    joined = docs.join(by_doc, "rid", "left")
     contexts = joined.mapInArrow(cut_contexts(context_of), CONTEXT_DDL)
     found = (contexts.repartition("key").sortWithinPartitions("key", "rid", "a")
              .mapInArrow(in_blocks(resolve, width), SPAN_DDL))
     found = found.groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("found"))
-    return joined.join(found, "rid", "left").mapInArrow(cut, cut_ddl)
+    return joined.join(found, "rid", "left").mapInArrow(cut, cut_schema)
 
 
 def cut_contexts(context_of: Callable) -> Callable:

@@ -18,8 +18,8 @@ are dropped.
 Lines end at ``\\n``; runs of other white space count as one space.  Lines of
 fewer than ``DEPTH`` tokens are never dropped.  Kept lines stay as they are.
 
-Defined results: null and empty texts have nothing to drop (a null stays
-null).  Identical rows are copies.  Null or repeated ids: see
+Defined results: null and empty texts have nothing to drop (a null comes
+back empty).  Identical rows are copies.  Null or repeated ids: see
 ``common.identified``.  An empty table gives an empty result.
 
 DataFrame functions only: no Python runs on the executors.  Leaves and

@@ -309,9 +309,16 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: (rid, doc_id, n_shingles, component_id, kept)."""
-    base = identified(docs)
+def drop_near_duplicates(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, *extra) of the first document of each component."""
+    base = identified(docs, extra=extra)
+    gone = near_duplicates(base).filter("not kept").select("rid")
+    return base.join(gone, "rid", "left_anti").drop("rid")
+
+
+def near_duplicates(base: DataFrame) -> DataFrame:
+    """One row per document of ``identified`` documents:
+    (rid, doc_id, n_shingles, component_id, kept)."""
     own = materialize(base.mapInArrow(
         signed, "rid long, doc_id long, n_shingles long, print binary, bands array<long>, short binary"), "signatures")
     classes = own.filter("n_shingles > 0").groupBy("print").agg(F.min("rid").alias("rep"))
@@ -333,4 +340,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("rid")
+    return near_duplicates(identified(read(spark, sf_dir, "documents"))).drop("rid")

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from . import anchors
 from .common import hash_ranges, identified, read, word_bounds
@@ -88,41 +89,45 @@ def resolve(key: np.ndarray, o1: np.ndarray, o2: np.ndarray, context: pa.Array)
     return out
 
 
-def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept_sha256", pa.string()), ("kept_text", pa.binary()), ("spans", span)])
-    for batch in it:
-        m_at, marks = anchors.list_slices(batch.column("marks"))
-        f_at, found = anchors.list_slices(batch.column("found"))
-        texts = batch.column("text").cast(pa.binary())
-        out: list[list] = [[], [], [], [], []]
-        for i in range(len(batch)):
-            text = texts[i].as_py()
-            words = text.split()
-            s, e = anchors.spans_of(marks[m_at[i]:m_at[i + 1]], found[f_at[i]:f_at[i + 1]], WIDTH)
-            s, e = s.tolist(), e.tolist()
-            kept, at = [], 0
-            for x, y in zip(s, e):
-                kept += words[at:x]
-                at = y
-            left = b" ".join(kept + words[at:])
-            # untouched texts keep their own white space; only cut ones are joined
-            row = (len(words), sum(e) - sum(s), hashlib.sha256(left).hexdigest(),
-                   left if s else text, [{"s": x, "e": y} for x, y in zip(s, e)])
-            for column, value in zip(out, row):
-                column.append(value)
-        arrays = [pa.array(v, type=f.type) for v, f in zip(out, list(schema)[1:])]
-        arrays[3] = arrays[3].view(pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *arrays],
-            names=[f.name for f in schema])
-
-
-def remove_repeated_passages(docs: DataFrame) -> DataFrame:
-    """One row per document of ``docs`` (doc_id, text): word counts, the text
-    that is left and its digest, and the removed spans in words."""
-    return anchors.repeated(identified(docs), WIDTH, RUN, words_of, context_of, resolve, cut, RESULT_DDL)
+def cut_with(extra: tuple[str, ...]):
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(),
+                 "kept_text": pa.binary(), "spans": span}
+        for batch in it:
+            m_at, marks = anchors.list_slices(batch.column("marks"))
+            f_at, found = anchors.list_slices(batch.column("found"))
+            texts = batch.column("text").cast(pa.binary())
+            out: list[list] = [[], [], [], [], []]
+            for i in range(len(batch)):
+                text = texts[i].as_py()
+                words = text.split()
+                s, e = anchors.spans_of(marks[m_at[i]:m_at[i + 1]], found[f_at[i]:f_at[i + 1]], WIDTH)
+                s, e = s.tolist(), e.tolist()
+                kept, at = [], 0
+                for x, y in zip(s, e):
+                    kept += words[at:x]
+                    at = y
+                left = b" ".join(kept + words[at:])
+                # untouched texts keep their own white space; only cut ones are joined
+                row = (len(words), sum(e) - sum(s), hashlib.sha256(left).hexdigest(),
+                       left if s else text, [{"s": x, "e": y} for x, y in zip(s, e)])
+                for column, value in zip(out, row):
+                    column.append(value)
+            arrays = [pa.array(v, type=t) for v, t in zip(out, kinds.values())]
+            arrays[3] = arrays[3].view(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *arrays, *(batch.column(c) for c in extra)],
+                names=["doc_id", *kinds, *extra])
+    return cut
+
+
+def remove_repeated_passages(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document of ``docs`` (doc_id, text, *extra): word counts,
+    the text that is left and its digest, and the removed spans in words."""
+    base = identified(docs, extra=extra)
+    schema = T.StructType(T.StructType.fromDDL(RESULT_DDL).fields + [base.schema[c] for c in extra])
+    return anchors.repeated(base, WIDTH, RUN, words_of, context_of, resolve, cut_with(extra), schema)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

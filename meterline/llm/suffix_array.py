@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from . import anchors
 from .common import identified, read
@@ -225,7 +226,8 @@ def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text): sizes, digest of what
     is left, and the removed byte spans."""
-    return anchors.repeated(identified(docs), WIDTH, RUN, bytes_of, context_of, resolve, cut, RESULT_DDL)
+    return anchors.repeated(identified(docs), WIDTH, RUN, bytes_of, context_of, resolve, cut,
+                            T.StructType.fromDDL(RESULT_DDL))
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

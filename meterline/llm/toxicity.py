@@ -370,6 +370,18 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(scored(model), "doc_id long, held_out boolean, evidence double, score double, predicted int")
 
 
+def passed(model: Model):
+    """mapInArrow: the rows, all columns, whose text is not predicted toxic."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore, seen = Restorer(model.cost), high_bits(model.table)
+        for batch in it:
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                e = model.evidence([restore(t) for t in lowered(part)], seen)
+                yield part.filter(pa.array(model.slope * (e - model.centre) < 0))
+    return run
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity(docs, learn(docs, read(spark, sf_dir, "labels"))).drop("evidence")
