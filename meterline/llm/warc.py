@@ -146,6 +146,8 @@ def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     magic, size = struct.unpack_from("<II", data)
     if magic != DICTIONARY_MAGIC:
         raise ValueError("no dictionary at the start of the archive")
+    if not data.endswith(LINE_END.encode()):
+        raise ValueError("the archive's last frame is missing: it was cut short")
     learnt = data[8:8 + size]
     if learnt[:4] == struct.pack("<I", FRAME_MAGIC):
         learnt = zstandard.ZstdDecompressor().decompress(learnt)
