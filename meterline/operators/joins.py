@@ -16,23 +16,10 @@ from pyspark.sql import functions as F
 LOOKUP_MAX_ROWS = 100_000
 
 
-_CHECKED: dict[tuple, tuple[DataFrame, bool]] = {}
-
-
 def is_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
-
-    The answer is remembered per session for semantically equal plans (the
-    same lookup joined by many models is counted once); plans over written
-    tables never collide because every table version has a fresh path.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    seen = _CHECKED.get(key)
-    if seen is not None and seen[0].sameSemantics(df):
-        return seen[1]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    _CHECKED[key] = (df, small)
-    return small
+    """True when ``df`` has at most ``max_rows`` rows (reads at most
+    max_rows + 1).  Counted on every use: a lookup may have grown."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
@@ -77,7 +64,3 @@ def role_join(df: DataFrame, dim: DataFrame, key_by_role: Mapping[str, str],
         side = F.broadcast(side) if small else side
         df = df.join(side, df[key] == side[tag], "left").drop(tag)
     return df
-
-
-def with_default(c: str, value) -> Column:
-    return F.coalesce(F.col(c), F.lit(value)).alias(c)

@@ -30,25 +30,39 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def partition_range(df: DataFrame, part_col: str) -> tuple:
-    """(min, max, has_null) of ``part_col`` in one small aggregate."""
-    r = df.agg(F.min(part_col).alias("lo"), F.max(part_col).alias("hi"),
-               F.max(F.col(part_col).isNull().cast("int")).alias("nul")).first()
-    return r["lo"], r["hi"], bool(r["nul"])
+def partition_values(df: DataFrame, part_col: str) -> list:
+    """The values of a partition column (a day or a month) that ``df`` has
+    rows for: one small aggregate, as many values as the batch has days."""
+    return [r[0] for r in df.select(part_col).distinct().collect()]
+
+
+def in_partitions(part_col: str, values: Sequence) -> Column:
+    known = [v for v in values if v is not None]
+    cond = F.col(part_col).isin(known) if known else F.lit(False)
+    return cond | F.col(part_col).isNull() if len(known) < len(values) else cond
 
 
 def prune_target(target: DataFrame, source: DataFrame, part_col: str) -> DataFrame:
-    """Target rows whose partition value occurs in the source's [min, max]
-    range (plus the NULL partition if the source has NULLs).  Exact when the
-    merge key determines ``part_col`` (the fingerprint includes the pickup time)."""
-    lo, hi, nul = partition_range(source, part_col)
-    if lo is None:
-        cond = F.col(part_col).isNull()
-    else:
-        cond = F.col(part_col).between(F.lit(lo), F.lit(hi))
-        if nul:
-            cond = cond | F.col(part_col).isNull()
-    return target.filter(cond)
+    """Target rows of the partitions the source has rows for; one stray date
+    adds its own partition, not all between.  Exact when the merge key
+    determines ``part_col`` (the fingerprint includes the pickup time)."""
+    return target.filter(in_partitions(part_col, partition_values(source, part_col)))
+
+
+def aligned(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns in its order; those the batch lacks are NULL."""
+    have = {c.lower() for c in source.columns}
+    return source.select(*[F.col(f.name) if f.name.lower() in have
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+
+
+def counted_unique(batch: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of a batch; an error if a key repeats (both from one pass)."""
+    r = (batch.groupBy(*keys).agg(F.count("*").alias("n"))
+         .agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first())
+    if (r["most"] or 0) > 1:
+        raise ValueError(f"merge source has duplicate keys on {list(keys)}")
+    return r["rows"] or 0
 
 
 def new_rows(target: DataFrame, source: DataFrame, key, prune_on: str | None = None) -> DataFrame:
@@ -71,20 +85,19 @@ def merge_insert(target: DataFrame, source: DataFrame, key, dedup_source: bool =
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key,
-                 append_new_columns: bool = True, check_unique: bool = False) -> DataFrame:
+                 append_new_columns: bool = True, check_unique: bool = True) -> DataFrame:
     """Update matching keys with the source row, insert the rest.
 
     With ``append_new_columns`` a source column unknown to the target is added
-    and old rows get NULL.  ``check_unique`` fails if the source repeats a key.
+    and old rows get NULL.  A source that repeats a key is an error, unless
+    the caller has checked it and says ``check_unique=False``.
     """
     ks = _keys(key)
     if check_unique:
-        dup = source.groupBy(*ks).count().filter("count > 1").limit(1).count()
-        if dup:
-            raise ValueError(f"merge source has duplicate keys on {ks}")
+        counted_unique(source, ks)
     kept = target.join(source.select(*ks).distinct(), ks, "left_anti")
     if not append_new_columns:
-        source = source.select(*target.columns)
+        source = aligned(source, target)
     return kept.unionByName(source, allowMissingColumns=append_new_columns)
 
 
@@ -182,17 +195,17 @@ def replace_interval_table(spark: SparkSession, rows: DataFrame, name: str, path
 
     ``part_of`` derives the partition value from ``column`` (a day or month
     of a timestamp: it must not decrease as ``column`` grows) and ``rows``
-    carry it as ``part_col``.  Only the partitions between those of
-    ``start`` and ``end`` are read and rewritten; their rows outside the
-    interval are kept; partitions left without rows are dropped.  The new
-    content of the touched partitions is written once to the shared folder
-    first, so the overwrite never reads what it replaces.  The partition
-    lists collected here are bounded by the interval, not by the data.
+    carry it as ``part_col``.  Only the interval's first and last partition
+    can hold rows outside it; only those are read.  The partitions before
+    the run come from the catalog; those left without rows are dropped.  The
+    new content is written once to the shared folder first, so the overwrite
+    never reads what it replaces, and a run that broke off is repaired by
+    running it again.
     """
     created = sinks.create_table_if_absent(spark, rows, name, path, partition_by=part_col)
     target = spark.table(name)
+    inside = aligned(rows, target).filter(in_interval(column, start, end))
     if created:  # first run: the interval's rows are the whole table
-        inside = rows.select(*target.columns).filter(in_interval(column, start, end))
         sinks.overwrite_table_partitions(inside, name, part_col)
         return
     ctype = rows.schema[column].dataType
@@ -202,48 +215,107 @@ def replace_interval_table(spark: SparkSession, rows: DataFrame, name: str, path
             else last - F.expr("INTERVAL 1 MICROSECOND"))
     b = spark.range(1).select(part_of(F.lit(start).cast(ctype)).alias("lo"),
                               part_of(last).alias("hi")).first()
-    kept = target.filter(F.col(part_col).between(F.lit(b["lo"]), F.lit(b["hi"])))
-    new = replace_interval(kept, rows.select(*target.columns), column, start, end)
-    new = sinks.materialize(new, f"{name}_interval")
-    before = {r[0] for r in kept.select(part_col).distinct().collect()}
-    after = {r[0] for r in new.select(part_col).distinct().collect()}
-    if after:
-        sinks.overwrite_table_partitions(new, name, part_col)
+    edges = target.filter(in_partitions(part_col, list({b["lo"], b["hi"]})))
+    kept = edges.filter(~in_interval(column, start, end) | F.col(column).isNull())
+    before = {v for v in sinks.listed_partitions(spark, name)
+              if v is not None and str(b["lo"]) <= v <= str(b["hi"])}
+    with sinks.staged(kept.unionByName(inside), f"{name}_interval") as new:
+        after = {str(v) for v in partition_values(new, part_col)}
+        if after:
+            sinks.overwrite_table_partitions(new, name, part_col)
     sinks.drop_table_partitions(spark, name, path, part_col, sorted(before - after))
 
 
+def _registered(spark: SparkSession, source: DataFrame, name: str, path: str, part_col: str,
+                append_new_columns: bool, full_refresh: bool) -> tuple[DataFrame, bool]:
+    """(target, whether it is empty because it was just made), with the
+    source's new columns added to it."""
+    if full_refresh:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        sinks.delete_folder(spark, path)
+    created = sinks.create_table_if_absent(spark, source, name, path, partition_by=part_col)
+    known = {c.lower() for c in spark.table(name).columns}
+    extra = [f for f in source.schema.fields if f.name.lower() not in known]
+    if extra and append_new_columns:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
+        spark.catalog.refreshTable(name)
+    return spark.table(name), created
+
+
+def _merge_partitions(spark: SparkSession, batch: DataFrame, target: DataFrame, name: str,
+                      keys: Sequence[str], part_col: str, created: bool) -> None:
+    """Write a staged batch: partitions the table lacks are appended as they
+    are; of the others the rows whose key is in the batch give way."""
+    values = partition_values(batch, part_col)
+    old = set() if created else sinks.listed_partitions(spark, name)
+    shared = [v for v in values if (None if v is None else str(v)) in old]
+    if shared:
+        touched = target.filter(in_partitions(part_col, shared))
+        own = batch.filter(in_partitions(part_col, shared))
+        merged = touched.join(own.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+        with sinks.staged(merged.unionByName(own), f"{name}_merged") as new:
+            sinks.overwrite_table_partitions(new, name, part_col)
+    if len(shared) < len(values):
+        sinks.append_table_partitions(
+            batch.filter(in_partitions(part_col, [v for v in values if v not in shared])), name, part_col)
+
+
 def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
-                       part_col: str, append_new_columns: bool = True) -> int:
+                       part_col: str, append_new_columns: bool = True, full_refresh: bool = False,
+                       check: Callable[[DataFrame], object] | None = None) -> int:
     """K10/K11 on a partitioned catalog table (an incremental model).
 
     The key must determine ``part_col`` (the trip key holds the pickup time
     and the table is partitioned by its month), so a key's old row can only
-    sit in a partition the batch writes to: only the batch's partition range
-    is read, merged and rewritten, and a run costs its batch, not the table.
-    A source column unknown to the table is added to it first (old rows read
-    NULL).  Returns the number of source rows (0: nothing written).
+    sit in a partition the batch has rows for: only those are read, merged
+    and rewritten, and a run costs its batch, not the table.  A source column
+    unknown to the table is added to it first (old rows read NULL); one the
+    source lacks is NULL in its rows.  A key that repeats in the batch is an
+    error, on the first run too.  ``full_refresh`` (K14) drops what is there
+    and rebuilds from ``source``, which must not read the table.  ``check``
+    (say, an output contract) sees the batch before anything is written.
+    Returns the number of source rows (0: nothing written, K16).
     """
     ks = _keys(key)
-    created = sinks.create_table_if_absent(spark, source, name, path, partition_by=part_col)
-    target = spark.table(name)
-    if created:  # first run: nothing to merge with, write the batch once
-        sinks.overwrite_table_partitions(source.select(*target.columns), name, part_col)
-        return spark.table(name).count()
-    known = {c.lower() for c in target.columns}
-    extra = [f for f in source.schema.fields if f.name.lower() not in known]
-    if extra and not append_new_columns:
-        source = source.drop(*[f.name for f in extra])
-    elif extra:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
-        spark.catalog.refreshTable(name)
-        target = spark.table(name)
-    # the batch is computed once; the empty check then reads the written copy
-    new = sinks.materialize(source.select(*target.columns), f"{name}_batch")
-    n = new.count()
-    if n == 0:  # K16
-        return 0
-    touched = prune_target(target, new, part_col)
-    merged = touched.join(new.select(*ks).distinct(), ks, "left_anti").unionByName(new)
-    sinks.overwrite_table_partitions(sinks.materialize(merged, f"{name}_merged"), name, part_col)
-    return n
+    if check is not None:
+        check(source)
+    # the batch is computed once; every later step reads the written copy
+    with sinks.staged(source, f"{name}_batch") as batch:
+        n = counted_unique(batch, ks)
+        if n == 0 and not full_refresh:
+            return 0
+        target, created = _registered(spark, batch, name, path, part_col, append_new_columns, full_refresh)
+        _merge_partitions(spark, aligned(batch, target), target, name, ks, part_col, created)
+        return n
+
+
+def delete_insert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
+                        part_col: str) -> int:
+    """K13 on a partitioned catalog table: as the upsert, but rows that share
+    a key in the batch are all inserted."""
+    with sinks.staged(source, f"{name}_batch") as batch:
+        n = batch.count()
+        if n:
+            target, created = _registered(spark, batch, name, path, part_col, False, False)
+            _merge_partitions(spark, aligned(batch, target), target, name, _keys(key), part_col, created)
+        return n
+
+
+def merge_insert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
+                       part_col: str) -> int:
+    """K9 on a partitioned catalog table: appends the batch rows whose key the
+    table lacks (keys that repeat inside the batch are all inserted); reads
+    the batch's partitions only.  Returns the number of rows inserted."""
+    with sinks.staged(source, f"{name}_batch") as batch:
+        target, created = _registered(spark, batch, name, path, part_col, False, False)
+        batch = aligned(batch, target)
+        if created:
+            fresh = batch
+        else:
+            fresh = new_rows(target, batch, key, prune_on=part_col).select(*target.columns)
+        with sinks.staged(fresh, f"{name}_fresh") as rows:
+            n = rows.count()
+            if n:
+                sinks.append_table_partitions(rows, name, part_col)
+            return n

@@ -13,22 +13,21 @@ training is scored as that baseline.
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LABEL = "tip_amount"
 NUMERIC_FEATURES = ["passenger_count", "trip_distance", "fare_amount", "tolls_amount"]
 CATEGORICAL_FEATURES = ["PULocationID", "DOLocationID", "payment_type"]
 NULL_CATEGORY = "__null__"
-MEDIAN_ACCURACY = 1_000_000  # rank error <= n / 1e6; exact below a million rows
 
 
 def ml_features(raw: DataFrame, keep=()) -> DataFrame:
@@ -191,52 +190,92 @@ def predict(model: TipModel, df: DataFrame) -> DataFrame:
     return scored.select(*_inputs(model, df.columns), model.prediction_col)
 
 
-def feature_info(df: DataFrame, numeric=None, categorical=None) -> DataFrame:
+def medians(df: DataFrame, columns) -> DataFrame:
+    """(input, median): the exact lower median of each column's non-NULL
+    values, at any size.
+
+    Equal values are counted with a partial aggregate, the distinct values
+    are range-partitioned and written once; a total per partition tells
+    which one holds the middle, and only those partitions (one a column) are
+    summed up in order.  No task sees a whole column.
+    """
+    from meterline.operators.sinks import materialize
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    counts = (df.select(F.expr(f"stack({len(columns)}, {pairs}) AS (input, value)"))
+              .filter("value IS NOT NULL").groupBy("input", "value").agg(F.count("*").alias("n")))
+    parts = materialize(counts.repartitionByRange("input", "value")
+                        .withColumn("part", F.spark_partition_id()), "value_counts")
+    # one row per column and partition
+    totals = parts.groupBy("input", "part").agg(F.sum("n").alias("n"))
+    up_to = Window.partitionBy("input").orderBy("part")
+    middle = (totals.withColumn("through", F.sum("n").over(up_to))
+              .withColumn("all", F.sum("n").over(Window.partitionBy("input")))
+              .withColumn("before", F.col("through") - F.col("n"))
+              .filter("2 * through >= all AND 2 * before < all").select("input", "part", "before", "all"))
+    inside = parts.join(middle, ["input", "part"])
+    running = F.col("before") + F.sum("n").over(Window.partitionBy("input").orderBy("value"))
+    return (inside.withColumn("through", running).filter("2 * through >= all")
+            .groupBy("input").agg(F.min("value").alias("median")))
+
+
+def feature_info(df: DataFrame, numeric=None, categorical=None, scale: str = "decimal(18,4)") -> DataFrame:
     """M3: per input column: min, max, mean, median, stddev (numeric),
-    category count (categorical) and null count, in one aggregate pass."""
+    category count (categorical) and null count.
+
+    Means are sums of decimals of ``scale``, which do not depend on the order
+    of rows; give a wider one if the inputs have more places.
+    """
     numeric = NUMERIC_FEATURES if numeric is None else list(numeric)
     categorical = CATEGORICAL_FEATURES if categorical is None else list(categorical)
-    aggs = []
-    for c in numeric:
-        x = F.col(c)
-        aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 (F.sum(x.cast("decimal(18,4)")).cast("double") / F.nullif(F.count(x), F.lit(0)))
-                 .alias(f"{c}__mean"),
-                 F.percentile_approx(x, 0.5, MEDIAN_ACCURACY).alias(f"{c}__median"),
-                 F.round(F.stddev_samp(x), 6).alias(f"{c}__stddev"),
-                 F.count_if(x.isNull()).alias(f"{c}__nulls")]
-    for c in categorical:
-        aggs += [F.countDistinct(F.col(c)).alias(f"{c}__cats"),
-                 F.count_if(F.col(c).isNull()).alias(f"{c}__nulls")]
-    row = df.agg(*aggs)
-    nd = F.lit(None).cast("double")
-    rows = ([F.struct(F.lit(c).alias("input"), F.col(f"{c}__min").alias("min"),
-                      F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"),
-                      F.col(f"{c}__median").alias("median"), F.col(f"{c}__stddev").alias("stddev"),
-                      F.lit(None).cast("bigint").alias("category_count"),
-                      F.col(f"{c}__nulls").cast("bigint").alias("null_count")) for c in numeric]
-            + [F.struct(F.lit(c).alias("input"), nd.alias("min"), nd.alias("max"),
-                        nd.alias("mean"), nd.alias("median"), nd.alias("stddev"),
-                        F.col(f"{c}__cats").cast("bigint").alias("category_count"),
-                        F.col(f"{c}__nulls").cast("bigint").alias("null_count"))
-               for c in categorical])
-    return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    parts = []
+    if numeric:
+        pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in numeric)
+        x = F.col("value")
+        stats = (df.select(F.expr(f"stack({len(numeric)}, {pairs}) AS (input, value)")).groupBy("input").agg(
+            F.min(x).alias("min"), F.max(x).alias("max"),
+            (F.sum(x.cast(scale)).cast("double") / F.nullif(F.count(x), F.lit(0))).alias("mean"),
+            F.round(F.stddev_samp(x), 6).alias("stddev"), F.count_if(x.isNull()).alias("null_count")))
+        parts.append(stats.join(medians(df, numeric), "input", "left").select(
+            "input", "min", "max", "mean", "median", "stddev",
+            F.lit(None).cast("bigint").alias("category_count"), "null_count"))
+    if categorical:
+        pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in categorical)
+        nd = F.lit(None).cast("double")
+        values = (df.select(F.expr(f"stack({len(categorical)}, {pairs}) AS (input, value)"))
+                  .groupBy("input", "value").agg(F.count("*").alias("n")))
+        parts.append(values.groupBy("input").agg(
+            F.count("value").alias("category_count"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count")).select(
+            "input", *[nd.alias(c) for c in ("min", "max", "mean", "median", "stddev")],
+            "category_count", "null_count"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def regression_metrics(scored: DataFrame, label: str, prediction: str) -> DataFrame:
     """M4: MAE, MSE, MSLE, median absolute error, R², explained variance in
-    one aggregate over (label, prediction) pairs."""
-    y, p = F.col(label), F.col(prediction)
-    e = p - y
-    sq_log = F.pow(F.log1p(p) - F.log1p(y), 2)
-    return scored.filter(y.isNotNull()).agg(
-        F.avg(F.abs(e)).alias("mean_absolute_error"),
+    one aggregate over (label, prediction) pairs.
+
+    The squared log error has no value where label or prediction is -1 or
+    less; it is the mean over the other rows, and ``rows_without_log`` says
+    how many it leaves out.
+    """
+    pairs = scored.filter(F.col(label).isNotNull()).select(
+        F.col(label).alias("y"), F.col(prediction).alias("p"))
+    pairs = pairs.withColumn("e", F.col("p") - F.col("y")).withColumn("abs_e", F.abs("e"))
+    y, p, e = F.col("y"), F.col("p"), F.col("e")
+    has_log = (y > -1) & (p > -1)
+    sq_log = F.when(has_log, F.pow(F.log1p(p) - F.log1p(y), 2))
+    rest = pairs.agg(
+        F.avg("abs_e").alias("mean_absolute_error"),
         F.avg(e * e).alias("mean_squared_error"),
         F.avg(sq_log).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(e), 0.5, MEDIAN_ACCURACY).alias("median_absolute_error"),
+        F.count_if(~has_log).alias("rows_without_log"),
         (1 - F.avg(e * e) / F.var_pop(y)).alias("r2_score"),
         (1 - F.var_pop(e) / F.var_pop(y)).alias("explained_variance"),
-    )
+    ).withColumn("input", F.lit("abs_e"))
+    return rest.join(medians(pairs, ["abs_e"]), "input", "left").select(
+        "mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "rows_without_log",
+        F.col("median").alias("median_absolute_error"), "r2_score", "explained_variance")
 
 
 def evaluate(model: TipModel, df: DataFrame) -> DataFrame:
@@ -289,7 +328,8 @@ def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categoric
          l1_range=(0.0, 20.0), l2_candidates=(0.0, 0.1, 1.0, 10.0), eval_pct: int = 20):
     """M7: ``trials`` seeded (l1, l2) draws, fitted ``parallelism`` at a time on
     the deterministic train split, scored on the eval split; returns
-    (trial table, best model)."""
+    (trial table, best model).  Indexing, imputing and the statistics are
+    done once; the trials differ in the regression only."""
     import random
     numeric = NUMERIC_FEATURES if numeric is None else list(numeric)
     categorical = CATEGORICAL_FEATURES if categorical is None else list(categorical)
@@ -300,46 +340,57 @@ def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categoric
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     train_rows = data.filter(F.col("split") == "train").drop("split")
     eval_rows = data.filter(F.col("split") == "eval").drop("split")
+    *stages, _ = _pipeline(label, numeric, categorical).getStages()
+    prepared = Pipeline(stages=stages).fit(train_rows)
+    base = _finish(prepared, train_rows, label, numeric, categorical)
+    fit_on = prepared.transform(train_rows).select("features__", label).persist(StorageLevel.MEMORY_AND_DISK)
+    score_on = prepared.transform(_map_unseen(base, eval_rows)).select(
+        "features__", label).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(i_p):
         i, (l1, l2) = i_p
         reg, en = penalty(l1, l2)
-        pm = _pipeline(label, numeric, categorical, reg, en).fit(train_rows)
-        m = _finish(pm, train_rows, label, numeric, categorical)
-        r = evaluate(m, eval_rows).first()
-        return i, l1, l2, reg, en, r["mean_squared_error"], r["r2_score"], m
+        regression = _pipeline(label, numeric, categorical, reg, en).getStages()[-1].fit(fit_on)
+        scored = regression.transform(score_on)
+        e = F.col(base.prediction_col) - F.col(label)
+        r = scored.agg(F.avg(e * e).alias("mse"),
+                       (1 - F.avg(e * e) / F.var_pop(label)).alias("r2")).first()
+        return i, l1, l2, reg, en, r["mse"], r["r2"], regression
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             results = list(pool.map(run, enumerate(params)))
     finally:
-        data.unpersist()
+        for kept in (fit_on, score_on, data):
+            kept.unpersist()
     spark = df.sparkSession
     table = spark.createDataFrame(
         [r[:7] for r in results],
         "trial_id int, l1_reg double, l2_reg double, reg_param double, elastic_net_param double, "
         "eval_mean_squared_error double, eval_r2_score double")
     best = min(results, key=lambda r: r[5])
-    return table, best[7]
+    return table, replace(base, pipeline=PipelineModel([*prepared.stages, best[7]]))
+
+
+STATISTICS = "statistics"
 
 
 def save(model: TipModel, path: str) -> str:
-    """M9: replace the persisted model at ``path``."""
+    """M9: replace the persisted model at ``path``: the pipeline, and beside
+    it the feature lists, means and frequencies that explaining needs."""
     model.pipeline.write().overwrite().save(path)
+    spark = SparkSession.active()
+    text = json.dumps({"label": model.label, "numeric": model.numeric, "categorical": model.categorical,
+                       "labels": model.labels, "means": model.means, "frequencies": model.frequencies})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path.rstrip('/')}/{STATISTICS}")
     return path
 
 
-def load(path: str, label: str = LABEL, numeric=None, categorical=None, train_df=None) -> TipModel:
-    """Reload a persisted pipeline; ``train_df`` restores explain statistics."""
+def load(path: str) -> TipModel:
+    """Reload a persisted model, ready to predict and to explain."""
     pm = PipelineModel.load(path)
-    numeric = NUMERIC_FEATURES if numeric is None else list(numeric)
-    categorical = CATEGORICAL_FEATURES if categorical is None else list(categorical)
-    if train_df is not None:
-        return _finish(pm, _prep(train_df, categorical), label, numeric, categorical)
-    labels = ({c: list(ls) for c, ls in zip(categorical, pm.stages[0].labelsArray)}
-              if categorical else {})
-    return TipModel(pm, label, numeric, categorical, labels)
-
-
-def _stamp() -> str:
-    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
+    spark = SparkSession.active()
+    known = json.loads(spark.read.text(f"{path.rstrip('/')}/{STATISTICS}", wholetext=True).first()[0])
+    return TipModel(pm, known["label"], known["numeric"], known["categorical"], known["labels"],
+                    known["means"], known["frequencies"])

@@ -8,7 +8,8 @@ one task per value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,26 +80,78 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     return df.sparkSession.table(name)
 
 
+def is_dynamic(spark: SparkSession, name: str) -> bool:
+    """Whether overwriting ``name`` replaces only the partitions written to."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return any(r["col_name"] == "Storage Properties"
+               and "partitionoverwritemode=dynamic" in r["data_type"].lower() for r in rows)
+
+
 def overwrite_table_partitions(df: DataFrame, name: str, partition_by) -> None:
     """K12/K13 write step on a catalog table made by :func:`save_table`:
     replace the partitions ``df`` has rows for, leave every other partition
-    untouched (neither read nor rewritten), register new ones."""
+    untouched (neither read nor rewritten), register new ones.  Refuses a
+    table whose overwrite would replace everything."""
     spark = df.sparkSession
+    if not is_dynamic(spark, name):
+        raise RuntimeError(f"{name} is not registered with dynamic partition overwrite")
     cols = spark.table(name).columns  # insertInto matches columns by position
     out = _laid_out(df.select(*cols), _as_list(partition_by), [])
     out.write.mode("overwrite").insertInto(name)
 
 
+def append_table_partitions(df: DataFrame, name: str, partition_by) -> None:
+    """Add rows to a catalog table (columns by position, as above)."""
+    cols = df.sparkSession.table(name).columns
+    _laid_out(df.select(*cols), _as_list(partition_by), []).write.mode("append").insertInto(name)
+
+
+def listed_partitions(spark: SparkSession, name: str) -> set[str | None]:
+    """Values of a table's partition column as the catalog has them, in text;
+    None is the partition of NULLs.  No file is opened."""
+    values = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    return {None if v in ("null", "__HIVE_DEFAULT_PARTITION__") else v for v in values}
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of the store that holds ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``; errors other than its absence
+    are the caller's to see."""
+    fs, p = _folder(spark, path)
+    return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
 def drop_table_partitions(spark: SparkSession, name: str, path: str, part_col: str,
                           values: Sequence) -> None:
     """Remove partitions (catalog entry and folder) that an interval
     replacement left without rows."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part_col} = '{v}')")
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part_col}={v}")
-        folder.getFileSystem(conf).delete(folder, True)
+        delete_folder(spark, f"{path.rstrip('/')}/{part_col}={v}")
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once under the shared folder, for the time of a merge;
+    the copy is deleted after it."""
+    from meterline.session import new_table_path
+    spark = df.sparkSession
+    path = new_table_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "staged") -> DataFrame:
@@ -119,33 +172,50 @@ def materialize(df: DataFrame, name: str = "staged") -> DataFrame:
 
 def create_if_absent(spark: SparkSession, df: DataFrame, path: str, partition_by=None,
                      cluster_by=None) -> bool:
-    """K6: create the table only if ``path`` holds none yet; True if created."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
+    """K6: create the table only if ``path`` holds nothing yet; True if created.
+    A table that is there but cannot be read is left alone."""
+    if holds_files(spark, path):
         return False
-    except Exception:  # no table there yet
-        write_table(df.limit(0), path, "overwrite", partition_by, cluster_by)
-        return True
+    write_table(df.limit(0), path, "overwrite", partition_by, cluster_by)
+    return True
 
 
 def create_table_if_absent(spark: SparkSession, df: DataFrame, name: str, path: str,
                            partition_by=None) -> bool:
     """K6 for a catalog table: True if the table was created empty (with the
     schema of ``df``).  Data already at ``path`` (a table written by an
-    earlier session) is registered and its partitions recovered, once."""
+    earlier session) is registered once: with the columns of all its files
+    (a merge may have added some), dynamic partition overwrite, and its
+    partitions recovered."""
     if spark.catalog.tableExists(name):
         return False
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-    except Exception:  # nothing at the path yet
+    if not holds_files(spark, path):
         save_table(df.limit(0), name, path, "overwrite", partition_by)
         return True
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partition_by:
+    parts = _as_list(partition_by)
+    fields = {f.name: f for f in spark.read.option("mergeSchema", "true").parquet(path).schema.fields}
+    for p in parts:                      # as declared, not as folder names look
+        fields[p] = df.schema[p]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                    for f in [f for n, f in fields.items() if n not in parts] + [fields[p] for p in parts])
+    by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet "
+              f"OPTIONS ('partitionOverwriteMode' = 'dynamic') {by} LOCATION '{place}'")
+    if parts:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return False
 
 
+def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """K1: make the version at ``path`` the current one of ``name``.  The
+    name is a view; replacing it is one catalog change, so readers see the
+    old version or the new one, never a part."""
+    place = path.replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{place}`")
+    return spark.table(name)
+
+
 def replace_empty(df: DataFrame, path: str) -> str:
     """K3: replace the table with an empty one of the same schema."""
     return write_table(df.limit(0), path, "overwrite")

@@ -101,23 +101,25 @@ def interval_staging(trips: DataFrame, lookup: DataFrame, start, end,
 MONEY_SCALE = "decimal(18,4)"
 
 
-def exact_sum(c: str):
-    """Sum of a money/distance column, exact at 4 decimal places.
+def exact_sum(c: str, scale: str = MONEY_SCALE):
+    """Sum of a money/distance column, exact at the places of ``scale`` (four;
+    the trip files have at most two).  Give a wider one for finer inputs:
+    values are rounded to it before they are added.
 
     Floating-point sums depend on the order rows arrive in, which differs
     with partitioning; summing as DECIMAL makes the report reproducible on
     any cluster layout.  The result is returned as DOUBLE.
     """
-    return F.sum(F.col(c).cast(MONEY_SCALE)).cast("double")
+    return F.sum(F.col(c).cast(scale)).cast("double")
 
 
-def exact_avg(c: str):
+def exact_avg(c: str, scale: str = MONEY_SCALE):
     """Average = exact sum / non-NULL count (NULL for no values)."""
-    return exact_sum(c) / F.nullif(F.count(c), F.lit(0))
+    return exact_sum(c, scale) / F.nullif(F.count(c), F.lit(0))
 
 
 def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
-                 ordered: bool = True) -> DataFrame:
+                 ordered: bool = True, scale: str = MONEY_SCALE) -> DataFrame:
     """reports.trips_report: per day and taxi type (and payment type when
     ``by_payment``): trips, fare/tip/distance sums and averages, sorted
     (``ordered=False`` skips the global sort, e.g. when the report is
@@ -129,12 +131,12 @@ def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
     g = (staged.filter(in_interval("pickup_datetime", s, e))
                .groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("total_trips"),
-                    exact_sum("fare_amount").alias("total_fare_amount"),
-                    exact_avg("fare_amount").alias("avg_fare_amount"),
-                    exact_sum("tip_amount").alias("total_tip_amount"),
-                    exact_avg("tip_amount").alias("avg_tip_amount"),
-                    exact_sum("trip_distance").alias("total_trip_distance"),
-                    exact_avg("trip_distance").alias("avg_trip_distance")))
+                    exact_sum("fare_amount", scale).alias("total_fare_amount"),
+                    exact_avg("fare_amount", scale).alias("avg_fare_amount"),
+                    exact_sum("tip_amount", scale).alias("total_tip_amount"),
+                    exact_avg("tip_amount", scale).alias("avg_tip_amount"),
+                    exact_sum("trip_distance", scale).alias("total_trip_distance"),
+                    exact_avg("trip_distance", scale).alias("avg_trip_distance")))
     if not ordered:
         return g
     order = ["pickup_date", "taxi_type"] + (["payment_type"] if by_payment else [])

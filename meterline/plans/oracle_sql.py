@@ -317,7 +317,8 @@ _DAY = "CAST(tpep_pickup_datetime AS DATE)"
 _YR = "CAST(EXTRACT(YEAR FROM tpep_pickup_datetime) AS BIGINT)"
 _MN = "CAST(EXTRACT(MONTH FROM tpep_pickup_datetime) AS BIGINT)"
 
-_RELATIONAL = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 ORACLE: dict[str, str] = {
     "monthly_zone_revenue": MONTHLY_ZONE_REVENUE,
@@ -395,7 +396,7 @@ FROM orders GROUP BY 1, 2""",
 SELECT CAST(o_orderdate AS DATE) AS order_date, COUNT(*) AS orders FROM orders GROUP BY 1 ORDER BY 1""",
     "head_ordered": "SELECT event_id, ts, event_type FROM events ORDER BY ts LIMIT 10",
     "table_counts": " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _RELATIONAL),
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _TABLES),
     "dedup_composite": """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (
@@ -528,6 +529,7 @@ _EVAL = f"""
 SELECT {_sig6("AVG(ABS(e))")} AS mean_absolute_error,
   {_sig6("AVG(e * e)")} AS mean_squared_error,
   {_sig6("AVG(CASE WHEN p > -1 AND y > -1 THEN POW(LN(1 + p) - LN(1 + y), 2) END)")} AS mean_squared_log_error,
+  COUNT(*) FILTER (WHERE NOT (p > -1 AND y > -1)) AS rows_without_log,
   {_sig6("quantile_disc(ABS(e), 0.5)")} AS median_absolute_error,
   {_sig6("1 - AVG(e * e) / VAR_POP(y)")} AS r2_score,
   {_sig6("1 - VAR_POP(e) / VAR_POP(y)")} AS explained_variance

@@ -2,19 +2,24 @@
 the file name -> insert-only merge into a day-partitioned table (S6, S13,
 X2, K6, K9, K16).
 
-One lazy plan per month with one write: the raw scan feeds the fingerprint
-projection, the anti-join reads only the target partitions of the batch's
-pickup-day range, and the new rows are appended to their day folders.
+The raw scan feeds the fingerprint projection and is written once; the
+anti-join reads only the target partitions of the batch's pickup days, and
+the new rows are appended to their day folders.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import row_fingerprint
 from meterline.operators import merge, sinks
 from meterline.schemas import FINGERPRINT_COLUMNS, PICKUP_COLUMN, RAW_SCHEMAS
+from meterline.sources.files import CORRUPT
 
 PART_COL = "pickup_date"
 
@@ -35,42 +40,80 @@ def stage_month(raw: DataFrame, service: str, filename: str | None = None) -> Da
         fname.alias("filename"),
         *raw_cols,
         F.to_date(F.col(PICKUP_COLUMN[service])).alias(PART_COL),
+        *[c for c in (CORRUPT, "unit") if c in raw.columns],
     )
 
 
+class BadRows(ValueError):
+    """More malformed rows in a batch than the load allows."""
+
+
+class Loaded(NamedTuple):
+    inserted: int
+    bad_rows: int
+
+
+def is_bad(columns) -> F.Column:
+    """Malformed: too few values, or a value that is there but could not be
+    read.  Further values after the last column are ignored, as an external
+    table with unknown values ignored does."""
+    service = next(s for s, c in PICKUP_COLUMN.items() if c in columns)
+    names = [f.name for f in RAW_SCHEMAS[service].fields]
+    values = F.split(F.col(CORRUPT), ",")
+    unread = [F.col(n).isNull() & (F.trim(F.get(values, F.lit(i))) != "") for i, n in enumerate(names)]
+    return F.col(CORRUPT).isNotNull() & ((F.size(values) < len(names)) | reduce(or_, unread))
+
+
+def first_unit_only(staged: DataFrame) -> DataFrame:
+    """Rows whose fingerprint is in no earlier ``unit`` (month) of the batch:
+    what merging the units one after another would insert.  Rows that share
+    a fingerprint inside one unit all stay, as in the warehouse MERGE."""
+    first = staged.groupBy("unique_row_id").agg(F.min("unit").alias("first_unit"))
+    return staged.join(first, "unique_row_id").filter("unit = first_unit").drop("unit", "first_unit")
+
+
 def load_month(spark: SparkSession, staged: DataFrame, target_path: str,
-               table: str | None = None) -> int:
-    """Merge one staged month into the partitioned target; returns rows inserted.
+               table: str | None = None, max_bad_rows: int | None = None) -> Loaded:
+    """Merge staged months into the partitioned target.
 
     Creates the target when absent, skips an empty batch, and otherwise
     appends only rows whose fingerprint the target lacks (duplicates inside
-    the batch are all inserted, as the warehouse MERGE does).  Idempotent:
+    a month are all inserted, as the warehouse MERGE does).  Idempotent:
     loading the same month again inserts nothing.
 
+    The batch is parsed once, into a table that the later steps read.  With
+    the column of malformed lines (``files.CORRUPT``) those rows are counted
+    and returned; more than ``max_bad_rows`` of them fail the load before
+    anything is written.  With ``unit`` the batch may hold several months.
+
     With ``table`` the target is a catalog table over ``target_path``: the
-    anti-join's day-range filter is resolved against the catalog's partition
-    list, so a month's merge lists the folders of that month only instead
-    of every day folder of the table's history, and appends register their
-    new days.
+    anti-join reads the batch's days only, found in the catalog's partition
+    list, and appends register their new days.
     """
-    if table:
-        created = sinks.create_table_if_absent(spark, staged, table, target_path,
-                                               partition_by=PART_COL)
-    else:
-        created = sinks.create_if_absent(spark, staged, target_path, partition_by=PART_COL)
-    if merge.skip_if_empty(staged):
-        return 0
-    if created:
-        fresh = staged
-    else:
-        target = spark.table(table) if table else spark.read.parquet(target_path)
-        fresh = merge.new_rows(target, staged, "unique_row_id", prune_on=PART_COL)
-    # cut lineage: the append must not re-read its own output
-    fresh = sinks.materialize(fresh, "month_batch")
-    n = fresh.count()
-    if n:
+    bad_col = CORRUPT if CORRUPT in staged.columns else None
+    with sinks.staged(staged, "month_batch") as batch:
+        bad = batch.filter(is_bad(batch.columns)).count() if bad_col else 0
+        if max_bad_rows is not None and bad > max_bad_rows:
+            raise BadRows(f"{bad} malformed rows, {max_bad_rows} allowed")
+        rows = batch.drop(bad_col) if bad_col else batch
+        rows = first_unit_only(rows) if "unit" in rows.columns else rows
+        cols = [c for c in staged.columns if c not in (bad_col, "unit")]
+        rows = rows.select(*cols)
         if table:
-            sinks.save_table(fresh, table, target_path, "append", partition_by=PART_COL)
+            created = sinks.create_table_if_absent(spark, rows, table, target_path,
+                                                   partition_by=PART_COL)
         else:
-            sinks.append(fresh, target_path, partition_by=PART_COL)
-    return n
+            created = sinks.create_if_absent(spark, rows, target_path, partition_by=PART_COL)
+        if merge.skip_if_empty(batch):
+            return Loaded(0, bad)
+        if not created:
+            target = spark.table(table) if table else spark.read.parquet(target_path)
+            rows = merge.new_rows(target, rows, "unique_row_id", prune_on=PART_COL)
+        # the append must not re-read its own output
+        with sinks.staged(rows, "month_fresh") as fresh:
+            n = fresh.count()
+            if n and table:
+                sinks.save_table(fresh, table, target_path, "append", partition_by=PART_COL)
+            elif n:
+                sinks.append(fresh, target_path, partition_by=PART_COL)
+            return Loaded(n, bad)

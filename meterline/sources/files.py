@@ -133,7 +133,3 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema) -> DataFra
 def payment_lookup(spark: SparkSession) -> DataFrame:
     """The payment lookup seed (payment_type_id, payment_type_name)."""
     return literal_table(spark, sorted(PAYMENT_TYPES.items()), PAYMENT_LOOKUP)
-
-
-def parse_day(d) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))

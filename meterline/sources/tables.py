@@ -10,21 +10,14 @@ TEST_TABLES = (
 )
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Resolve a logical table name to its parquet data.
 
     Column pruning and filter pushdown reach the scan because nothing here
-    materialises; callers select what they need.  The scan handle is reused
-    within a session (file listing and footer reads happen once).
+    materialises; callers select what they need.  The files are listed on
+    every call, so files added since the last one are read.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
