@@ -157,11 +157,18 @@ def close_in_size(a: str, b: str) -> F.Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """(bucket, rid, hub) of buckets with two members or more: with each
+    member the bucket's smallest.  Most buckets hold one document and end
+    here, so what both rounds read is small."""
+    buckets = reps.select("rid", F.explode("bands").alias("bucket"))
+    hubs = buckets.groupBy("bucket").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    return buckets.join(hubs.drop("n"), "bucket")
+
+
 def star_pairs(reps: DataFrame, buckets: DataFrame) -> DataFrame:
     """(x, hub): each member with the smallest of each of its buckets."""
-    hubs = buckets.groupBy("bucket").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    pairs = (buckets.join(hubs, "bucket").filter("rid <> hub")
-             .select(F.col("rid").alias("x"), "hub").distinct())
+    pairs = buckets.filter("rid <> hub").select(F.col("rid").alias("x"), "hub").distinct()
     own = reps.select(F.col("rid").alias("x"), F.col("n_shingles").alias("nx"), F.col("short").alias("sx"))
     other = reps.select(F.col("rid").alias("hub"), F.col("n_shingles").alias("nh"), F.col("short").alias("sh"))
     return (pairs.join(own, "x").join(other, "hub").filter(close_in_size("nx", "nh"))
@@ -203,7 +210,7 @@ def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def open_pairs(reps: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """(x, hub): pairs of a bucket that stars have left in different components."""
-    members = (buckets.join(labels, "rid", "left")
+    members = (buckets.drop("hub").join(labels, "rid", "left")
                .withColumn("comp", F.coalesce("comp", "rid")))
     open_ = (members.groupBy("bucket")
              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
@@ -324,7 +331,7 @@ def near_duplicates(base: DataFrame) -> DataFrame:
     classes = own.filter("n_shingles > 0").groupBy("print").agg(F.min("rid").alias("rep"))
     reps = own.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select(
         "rid", "n_shingles", "bands", "short")
-    buckets = reps.select("rid", F.explode("bands").alias("bucket"))
+    buckets = materialize(shared_buckets(reps), "buckets")
     first = materialize(confirm(star_pairs(reps, buckets), base), "links")
     labels = components(first)
     more = materialize(confirm(open_pairs(reps, buckets, labels), base), "links")
