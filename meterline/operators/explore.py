@@ -13,16 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def on_dates(df: DataFrame, ts: str, part_col: str | None, lo, hi) -> DataFrame:
+def on_dates(df: DataFrame, ts: str, part_col: str | None, lo, hi, granularity: str = "day") -> DataFrame:
     """O1: ``DATE(ts) BETWEEN lo AND hi`` with partition pruning.
 
     A predicate on ``to_date(ts)`` alone is pushed as a row-group filter but
     prunes no partition folders; adding the same range on the derived
-    partition column does.
+    partition column (its day, or the first day of its month) does.
     """
     cond = F.to_date(F.col(ts)).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
     if part_col:
-        cond = cond & F.col(part_col).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
+        first, last = (F.lit(x).cast("date") for x in (lo, hi))
+        if granularity == "month":
+            first, last = F.trunc(first, "month"), F.trunc(last, "month")
+        cond = cond & F.col(part_col).between(first, last)
     return df.filter(cond)
 
 

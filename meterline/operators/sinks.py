@@ -21,9 +21,13 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def with_partition_date(df: DataFrame, ts: str, part_col: str = "pickup_date") -> DataFrame:
-    """K6: derived day column for ``PARTITION BY DATE(ts)``."""
-    return df.withColumn(part_col, F.to_date(F.col(ts)))
+def with_partition_date(df: DataFrame, ts: str, part_col: str = "pickup_date",
+                        granularity: str = "day") -> DataFrame:
+    """K6: derived column for ``PARTITION BY`` the day, or the first day of
+    the month, of ``ts``.  Days suit tables with files' worth of rows a day;
+    below that footers outweigh the rows, and months are the better layout."""
+    day = F.to_date(F.col(ts))
+    return df.withColumn(part_col, F.trunc(day, "month") if granularity == "month" else day)
 
 
 def _laid_out(df: DataFrame, parts: list[str], clusters: list[str]) -> DataFrame:
@@ -61,7 +65,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
-                partition_by=None, cluster_by=None) -> DataFrame:
+                partition_by=None, cluster_by=None, options: dict | None = None) -> DataFrame:
     """K5/K6/K7 as a catalog table whose files live at ``path``.
 
     The catalog tracks the table's partitions, so a filter on a partition
@@ -76,6 +80,8 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
         # stored with the table: INSERT OVERWRITE rewrites only the partitions
         # it writes rows to (see overwrite_table_partitions)
         w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
     w.option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 

@@ -460,6 +460,11 @@ TRIP_LAYOUTS = {
     "flat": {},
     "by_day": {"partition_by": "pickup_date"},
     "by_day_vendor": {"partition_by": "pickup_date", "cluster_by": "VendorID"},
+    # small row groups, so that a file of this test data holds several as a
+    # real month's file does
+    "by_month": {"partition_by": "pickup_month", "options": {"parquet.block.size": 65_536}},
+    "by_month_vendor": {"partition_by": "pickup_month", "cluster_by": "VendorID",
+                        "options": {"parquet.block.size": 65_536}},
 }
 
 
@@ -469,21 +474,23 @@ def trips_layout(spark, sf_dir, layout: str) -> DataFrame:
     from meterline.operators.sinks import save_table, with_partition_date
     key = (spark.sparkContext.applicationId, sf_dir, "trips", layout)
     if key not in _WRITTEN:
-        df = with_partition_date(yellow(spark, sf_dir), PICK, "pickup_date")
+        monthly = "month" in layout
+        df = with_partition_date(yellow(spark, sf_dir), PICK, "pickup_month" if monthly else "pickup_date",
+                                 "month" if monthly else "day")
         name = _table_name(spark, f"yellow_{layout}")
         save_table(df, name, _scratch(spark, f"yellow_{layout}"), **TRIP_LAYOUTS[layout])
         _WRITTEN[key] = name
     return spark.table(_WRITTEN[key])
 
 
-def _vendors_in_june(df: DataFrame, part_col: str | None) -> DataFrame:
+def _vendors_in_june(df: DataFrame, part_col: str | None, granularity: str = "day") -> DataFrame:
     from meterline.operators.explore import on_dates
-    return on_dates(df, PICK, part_col, "1998-06-01", "1998-06-30").select("VendorID").distinct()
+    return on_dates(df, PICK, part_col, "1998-06-01", "1998-06-30", granularity).select("VendorID").distinct()
 
 
-def _vendor1_in_range(df: DataFrame, part_col: str | None) -> DataFrame:
+def _vendor1_in_range(df: DataFrame, part_col: str | None, granularity: str = "day") -> DataFrame:
     from meterline.operators.explore import count_rows, on_dates
-    y = on_dates(df, PICK, part_col, "1998-06-01", "2000-12-31")
+    y = on_dates(df, PICK, part_col, "1998-06-01", "2000-12-31", granularity)
     return count_rows(y.filter(F.col("VendorID") == "1"))
 
 
@@ -512,6 +519,25 @@ def q_count_range_vendor_clustered(spark, sf_dir):
     return _vendor1_in_range(trips_layout(spark, sf_dir, "by_day_vendor"), "pickup_date")
 
 
+@register("distinct_vendors_by_month")
+def q_distinct_vendors_by_month(spark, sf_dir):
+    """A4 O1 K6: the same month on the month-partitioned table (its folder only)."""
+    return _vendors_in_june(trips_layout(spark, sf_dir, "by_month"), "pickup_month", "month")
+
+
+@register("count_range_vendor_by_month")
+def q_count_range_vendor_by_month(spark, sf_dir):
+    """Vendor-1 trips in a day range on the month-partitioned table."""
+    return _vendor1_in_range(trips_layout(spark, sf_dir, "by_month"), "pickup_month", "month")
+
+
+@register("count_range_vendor_month_clustered")
+def q_count_range_vendor_month_clustered(spark, sf_dir):
+    """The same count where each month's file is sorted by
+    vendor, so whole row groups are skipped."""
+    return _vendor1_in_range(trips_layout(spark, sf_dir, "by_month_vendor"), "pickup_month", "month")
+
+
 @register("ctas_roundtrip")
 def q_ctas_roundtrip(spark, sf_dir):
     """CREATE OR REPLACE TABLE AS SELECT, read back by name."""
