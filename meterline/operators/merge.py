@@ -275,7 +275,8 @@ def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path:
     error, on the first run too.  ``full_refresh`` (K14) drops what is there
     and rebuilds from ``source``, which must not read the table.  ``check``
     (say, an output contract) sees the batch before anything is written.
-    Returns the number of source rows (0: nothing written, K16).
+    Returns the number of source rows (0: nothing written, K16; a table that
+    is not registered is, all the same).
     """
     ks = _keys(key)
     if check is not None:
@@ -283,7 +284,7 @@ def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path:
     # the batch is computed once; every later step reads the written copy
     with sinks.staged(source, f"{name}_batch") as batch:
         n = counted_unique(batch, ks)
-        if n == 0 and not full_refresh:
+        if n == 0 and not full_refresh and spark.catalog.tableExists(name):
             return 0
         target, created = _registered(spark, batch, name, path, part_col, append_new_columns, full_refresh)
         _merge_partitions(spark, aligned(batch, target), target, name, ks, part_col, created)

@@ -736,6 +736,32 @@ def q_incremental_fact(spark, sf_dir):
                                     money("total_amount").alias("total_amount"))
 
 
+@register("incremental_lookback")
+def q_incremental_lookback(spark, sf_dir):
+    """Trips of one vendor arrive late; the second run goes back 60
+    days behind the table's newest pickup and replaces that interval, so the
+    late trips are in and no other month was touched."""
+    import datetime as dt
+    from meterline.functions.exprs import month_start
+    from meterline.operators import merge
+    name, path = _table_name(spark, "fct_late"), _scratch(spark, "fct_late")
+    full = fact(spark, sf_dir).withColumn("pickup_month", month_start("pickup_datetime"))
+    seen = F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")
+    late = (F.col("vendor_id") == 2) & (F.col("pickup_datetime") >= F.lit("1997-12-01").cast("timestamp_ntz"))
+    merge.merge_upsert_table(spark, full.filter(seen & ~late), name, path, "trip_id", "pickup_month")
+    forget(spark, name)
+    merge.merge_upsert_table(spark, full.limit(0), name, path, "trip_id", "pickup_month")   # registers it
+    back = dt.timedelta(days=60)
+    mark = merge.high_water_mark(spark.table(name), "pickup_datetime", "pickup_month")
+    rows = merge.incremental_rows(full, spark.table(name), "pickup_datetime", policy="lookback",
+                                  lookback=back, part_col="pickup_month")
+    merge.replace_interval_table(spark, rows, name, path, "pickup_datetime", mark - back,
+                                 dt.datetime(2030, 1, 1), "pickup_month",
+                                 lambda c: F.trunc(F.to_date(c), "month"))
+    return spark.table(name).select("trip_id", "pickup_datetime", "service_type",
+                                    money("total_amount").alias("total_amount"))
+
+
 # --- CSV sources --------------------------------------------------------------------------
 
 @register("csv_inferred_lookup")
@@ -1010,7 +1036,8 @@ def _models(spark, sf_dir, needed) -> dict:
         "fct_monthly_zone_revenue": lambda: models.monthly_zone_revenue(f()),
         "payment_lookup": lambda: payment_lookup(spark),
         "staging_trips": st,
-        "trips_report": lambda: interval.daily_report(st(), *INTERVAL),
+        # checks need no sorted report
+        "trips_report": lambda: interval.daily_report(st(), *INTERVAL, ordered=False),
     }
 
 

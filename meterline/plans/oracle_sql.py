@@ -713,6 +713,7 @@ ORACLE["distinct_vendors_flat"] = ORACLE["distinct_vendors"]
 ORACLE["distinct_vendors_by_day"] = ORACLE["distinct_vendors"]
 ORACLE["count_range_vendor_by_day"] = ORACLE["count_range_vendor"]
 ORACLE["count_range_vendor_clustered"] = ORACLE["count_range_vendor"]
+ORACLE["incremental_lookback"] = ORACLE["incremental_fact"]
 ORACLE["distinct_vendors_by_month"] = ORACLE["distinct_vendors"]
 ORACLE["count_range_vendor_by_month"] = ORACLE["count_range_vendor"]
 ORACLE["count_range_vendor_month_clustered"] = ORACLE["count_range_vendor"]
