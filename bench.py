@@ -72,7 +72,7 @@ LAYOUT_TABLES = {
     "count_range_vendor_by_day": "by_day",
     "count_range_vendor_clustered": "by_day_vendor",
     "distinct_vendors_by_month": "by_month",
-    "count_range_vendor_by_month": "by_month",
+    "count_range_vendor_by_month": "by_month_groups",
     "count_range_vendor_month_clustered": "by_month_vendor",
 }
 
