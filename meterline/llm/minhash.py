@@ -9,11 +9,15 @@ confirmed by the exact Jaccard similarity of the full sets.
 No bucket is turned into all its pairs:
 
 * documents with equal sets are one class and meet the rest as one;
-* first each member of a bucket is compared with the bucket's smallest
-  member; what is linked that way is already connected;
+* shingles that one candidate alone has can be in no intersection, so a
+  pair's similarity is bounded by what either shares with anybody; documents
+  that share too little for any link leave here;
+* each member of a bucket is compared with the member that shares most,
+  which in a cloud of copies is the one next to the original; what is linked
+  that way is already connected;
 * then only pairs of a bucket that are still in different components are
-  looked at, block against block, and dropped unless the signatures leave a
-  similarity of 0.75 possible.
+  looked at, block against block, and dropped unless that bound and the
+  signatures leave a similarity of 0.75 possible.
 
 The sets that a popular member is compared with are dealt out in shares, so
 no task gets a whole group.  Components are found by alternating large-star
@@ -38,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (FIRST, SLICE, U64, hash_ranges, identified, list_slices, materialize, mix, read,
-                     text_buffer, word_bounds)
+from .common import (FIRST, SLICE, U64, hash_ranges, identified, materialize, mix, read, text_buffer,
+                     word_bounds)
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
@@ -153,40 +157,86 @@ def possible(short_a: str, short_b: str):
     return run
 
 
-def close_in_size(a: str, b: str) -> F.Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def possible_size(shared_a: str, n_a: str, shared_b: str, n_b: str) -> F.Column:
+    """Whether two sets may be similar enough, by what each shares with others."""
+    most = F.least(shared_a, shared_b)
+    return 100 * most >= PERCENT * (F.col(n_a) + F.col(n_b) - most)
 
 
 def shared_buckets(reps: DataFrame) -> DataFrame:
-    """(bucket, rid, hub) of buckets with two members or more: with each
-    member the bucket's smallest.  Most buckets hold one document and end
-    here, so what both rounds read is small."""
+    """(bucket, rid) of buckets with two members or more.  Most buckets hold
+    one document and end here, so what the rounds read is small."""
     buckets = reps.select("rid", F.explode("bands").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    return buckets.join(hubs.drop("n"), "bucket")
+    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    return buckets.join(several, "bucket")
 
 
-def star_pairs(reps: DataFrame, buckets: DataFrame) -> DataFrame:
-    """(x, hub): each member with the smallest of each of its buckets."""
-    pairs = buckets.filter("rid <> hub").select(F.col("rid").alias("x"), "hub").distinct()
-    own = reps.select(F.col("rid").alias("x"), F.col("n_shingles").alias("nx"), F.col("short").alias("sx"))
-    other = reps.select(F.col("rid").alias("hub"), F.col("n_shingles").alias("nh"), F.col("short").alias("sh"))
-    return (pairs.join(own, "x").join(other, "hub").filter(close_in_size("nx", "nh"))
-            .mapInArrow(possible("sx", "sh"), "x long, hub long"))
+def set_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, text) to (rid, members): the sorted shingle hashes."""
+    for batch in it:
+        data, offsets = text_buffer(batch.column("text"))
+        i = 0
+        while i < len(batch):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE, side="right")) - 1)
+            own = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid").slice(i, j - i), pa.array([x.tobytes() for x in own], pa.binary())],
+                names=["rid", "members"])
+            i = j
+
+
+def owners(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, members) to one row per shingle of a batch: its only owner
+    there, or null if it has several."""
+    for batch in it:
+        if not len(batch):
+            continue
+        blobs = batch.column("members").to_pylist()
+        rid = np.repeat(batch.column("rid").to_numpy(), [len(b) // 8 for b in blobs])
+        shingle, first, n = np.unique(np.frombuffer(b"".join(blobs), dtype=np.int64),
+                                      return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(rid[first], mask=n > 1)],
+                                         names=["shingle", "owner"])
+
+
+def sharing(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rid, n_shingles, short, shared) of the candidates that may link with
+    anybody: ``shared`` counts the shingles another candidate has too."""
+    seen = sets.mapInArrow(owners, "shingle long, owner long").groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("owner").alias("owner"))
+    alone = (seen.filter("n = 1 and owner is not null").groupBy("owner")
+             .agg(F.count("*").alias("alone")).withColumnRenamed("owner", "rid"))
+    return (reps.select("rid", "n_shingles", "short").join(sets.select("rid"), "rid").join(alone, "rid", "left")
+            .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
+            .filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")))
+
+
+def star_pairs(members: DataFrame, able: DataFrame) -> DataFrame:
+    """(x, hub): each member with the one of its bucket that shares most."""
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("shared", (-F.col("rid")).alias("r"))).alias("top"))
+    pairs = (members.join(hubs.select("bucket", (-F.col("top.r")).alias("hub")), "bucket").filter("rid <> hub")
+             .select(F.col("rid").alias("x"), "hub").distinct())
+    own, other = (able.select(F.col("rid").alias(name), F.col("n_shingles").alias(f"n_{name}"),
+                              F.col("shared").alias(f"s_{name}"), F.col("short").alias(f"short_{name}"))
+                  for name in ("x", "hub"))
+    return (pairs.join(own, "x").join(other, "hub").filter(possible_size("s_x", "n_x", "s_hub", "n_hub"))
+            .mapInArrow(possible("short_x", "short_hub"), "x long, hub long"))
 
 
 def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (bucket, i, j): pairs of block i and block j that are in
     different components and may be similar."""
     def pairs(rows: pa.Table):
-        rid, comp, size, block = (rows.column(c).to_numpy() for c in ("rid", "comp", "n_shingles", "block"))
+        rid, comp, size, shared, block = (rows.column(c).to_numpy() for c in
+                                          ("rid", "comp", "n_shingles", "shared", "block"))
         short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(rid), -1)
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
         for a in left:
             b = right[(comp[right] != comp[a]) & ((rid[right] > rid[a]) | (i != j))]
-            b = b[100 * np.minimum(size[b], size[a]) >= PERCENT * np.maximum(size[b], size[a])]
+            most = np.minimum(shared[b], shared[a])
+            b = b[100 * most >= PERCENT * (size[b] + size[a] - most)]
             if len(b):
                 b = b[(short[b] == short[a]).mean(axis=1) >= POSSIBLE]
                 found.append(np.stack([np.maximum(rid[b], rid[a]), np.minimum(rid[b], rid[a])]))
@@ -208,49 +258,24 @@ def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(held)
 
 
-def open_pairs(reps: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+def open_pairs(members: DataFrame, able: DataFrame, labels: DataFrame) -> DataFrame:
     """(x, hub): pairs of a bucket that stars have left in different components."""
-    members = (buckets.drop("hub").join(labels, "rid", "left")
-               .withColumn("comp", F.coalesce("comp", "rid")))
-    open_ = (members.groupBy("bucket")
+    known = members.select("bucket", "rid").join(labels, "rid", "left").withColumn(
+        "comp", F.coalesce("comp", "rid"))
+    open_ = (known.groupBy("bucket")
              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
              .filter("lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    dealt = (members.join(open_, "bucket")
-             .join(reps.select("rid", "n_shingles", "short"), "rid")
+    dealt = (known.join(open_, "bucket").join(able, "rid")
              .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-                     "block", "rid", "comp", "n_shingles", "short"))
+                     "block", "rid", "comp", "n_shingles", "shared", "short"))
     return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .mapInArrow(across, "x long, hub long").distinct())
 
 
 # ---------------------------------------------------------- verification
 
-def sets_for(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted) to one row per comparison the text takes part in."""
-    for batch in it:
-        data, offsets = text_buffer(batch.column("text"))
-        at, wanted = list_slices(batch.column("wanted"))
-        hub, share, member = (wanted.field(c).to_numpy(zero_copy_only=False) for c in ("hub", "share", "member"))
-        rid = batch.column("rid").to_numpy()
-        i = 0
-        while i < len(batch):
-            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE, side="right")) - 1)
-            own = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            for row, s in enumerate(own, start=i):
-                a, b = at[row], at[row + 1]
-                blob = s.tobytes()
-                step = max(1, (8 << 20) // max(1, len(blob)))
-                for c in range(a, b, step):
-                    d = min(c + step, b)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hub[c:d]), pa.array(share[c:d]), pa.array(member[c:d]),
-                         pa.array(np.full(d - c, rid[row])), pa.array([blob] * (d - c), pa.binary())],
-                        names=["hub", "share", "member", "rid", "members"])
-            i = j
-
-
 def confirmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, share, member): the hub's set, then those to
     compare with it, one at a time."""
@@ -276,8 +301,9 @@ def confirmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["x", "hub"])
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (x, hub) whose full sets are similar enough."""
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, hub) whose full sets are similar enough.  A hub's set
+    goes to each of its shares, every other set to its hubs."""
     shares = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
     member = (pairs.join(shares, "hub")
               .select(F.col("x").alias("rid"), "hub", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int").alias("share"),
@@ -285,10 +311,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     hubs = shares.select(F.col("hub").alias("rid"), "hub",
                          F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
                          F.lit(0).alias("member"))
-    wanted = member.unionByName(hubs).groupBy("rid").agg(
-        F.collect_list(F.struct("hub", "share", "member")).alias("wanted"))
-    return (docs.select("rid", "text").join(wanted, "rid")
-            .mapInArrow(sets_for, "hub long, share int, member int, rid long, members binary")
+    return (sets.join(member.unionByName(hubs), "rid").select("hub", "share", "member", "rid", "members")
             .repartition("hub", "share").sortWithinPartitions("hub", "share", "member")
             .mapInArrow(confirmed, "x long, hub long"))
 
@@ -332,9 +355,14 @@ def near_duplicates(base: DataFrame) -> DataFrame:
     reps = own.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select(
         "rid", "n_shingles", "bands", "short")
     buckets = materialize(shared_buckets(reps), "buckets")
-    first = materialize(confirm(star_pairs(reps, buckets), base), "links")
+    candidates = buckets.select("rid").distinct()
+    sets = materialize(base.select("rid", "text").join(candidates, "rid")
+                       .mapInArrow(set_rows, "rid long, members binary"), "sets")
+    able = materialize(sharing(reps, sets), "able")
+    members = buckets.join(able.select("rid", "shared"), "rid")
+    first = materialize(confirm(star_pairs(members, able), sets), "links")
     labels = components(first)
-    more = materialize(confirm(open_pairs(reps, buckets, labels), base), "links")
+    more = materialize(confirm(open_pairs(members, able, labels), sets), "links")
     if more.limit(1).count():
         labels = components(first.union(more))
     names = own.select(F.col("rid").alias("to"), F.col("doc_id").alias("component_id"))
