@@ -83,7 +83,9 @@ def templates(docs: DataFrame, places: DataFrame, min_docs: int) -> DataFrame:
     looked at, and only their lines' texts are grouped.
     """
     leaves = places.groupBy("leaf").agg(F.count("*").alias("c")).filter(F.col("c") >= min_docs).select("leaf")
-    lines = materialize(lines_of(docs).select("leaf", "n", "line").join(leaves, "leaf")
+    # a merge join at every size: a few leaves would be sent to all tasks, many
+    # cannot, and lines that share a leaf may be split over tasks
+    lines = materialize(lines_of(docs).select("leaf", "n", "line").join(leaves.hint("merge"), "leaf")
                         .groupBy("leaf", "n", "line").agg(F.count("*").alias("c")), "lines")
     several = lines.groupBy("leaf", "n").agg(F.count("*").alias("k")).filter("k > 1").select("leaf", "n")
     shared = leaf_templates(lines.join(several, ["leaf", "n"]))
@@ -125,7 +127,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, extra: tuple
     kept = F.array_join(F.transform(F.filter(
         F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
         lambda p: ~F.array_contains("gone", p["i"])), lambda p: p["x"]), "\n")
-    return base.join(gone, "rid", "left").select(
+    return base.join(gone.hint("merge"), "rid", "left").select(
         "rid", "doc_id", *extra, F.size(lines).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"))
