@@ -241,9 +241,14 @@ def q_top_payment_types(spark, sf_dir):
 
 @register("dev_sample")
 def q_dev_sample(spark, sf_dir):
-    """Dev-target staging sample (a one-month half-open range)."""
-    return comparable(staging.stage_yellow(adapter.raw_yellow(spark, sf_dir, False),
-                                           sample_range=("1998-01-01", "1998-02-01")))
+    """Staging of the dev target, which samples one month (a
+    half-open range); another target over the same data reads all of it."""
+    from meterline.sources.tables import Sources, Target
+    sources = Sources({"dev": Target(sf_dir, sample_range=("1998-01-01", "1998-02-01")),
+                       "prod": Target(sf_dir)}, default="dev")
+    t = sources.target()
+    return comparable(staging.stage_yellow(adapter.raw_yellow(spark, t.root, False),
+                                           sample_range=t.sample_range))
 
 
 # --- exploration over the yellow trips -----------------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 
 TEST_TABLES = (
@@ -20,6 +23,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@dataclass(frozen=True)
+class Target:
+    """V4: where a target's data lives (a folder, or a database of the
+    catalog), and the sample of it that its staging models read."""
+    root: str
+    catalog: bool = False
+    sample_range: tuple[str, str] | None = None
+
+
+@dataclass(frozen=True)
+class Sources:
+    """The declared sources: which stored table each logical name stands
+    for (its own name unless given), per target."""
+    targets: Mapping[str, Target]
+    default: str
+    tables: Mapping[str, str] = field(default_factory=dict)
+
+    def target(self, name: str | None = None) -> Target:
+        name = self.default if name is None else name
+        if name not in self.targets:
+            raise KeyError(f"no target {name!r}; there are {sorted(self.targets)}")
+        return self.targets[name]
+
+    def table(self, spark: SparkSession, name: str, target: str | None = None) -> DataFrame:
+        t, stored = self.target(target), self.tables.get(name, name)
+        return spark.table(f"{t.root}.{stored}") if t.catalog else table(spark, t.root, stored)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has
     cores (e.g. one file with a single row group, or one gzip CSV) over all
