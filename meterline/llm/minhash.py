@@ -13,8 +13,9 @@ No bucket is turned into all its pairs:
   pair's similarity is bounded by what either shares with anybody; documents
   that share too little for any link leave here;
 * each member of a bucket is compared with the member that shares most,
-  which in a cloud of copies is the one next to the original; what is linked
-  that way is already connected;
+  which in a cloud of copies is the one next to the original, and with its
+  two most similar neighbours in sorted buckets; what is linked that way is
+  already connected;
 * then only pairs of a bucket that are still in different components are
   looked at, block against block, and dropped unless that bound and the
   signatures leave a similarity of 0.75 possible.
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (FIRST, SLICE, U64, hash_ranges, identified, materialize, mix, read, text_buffer,
@@ -49,6 +50,8 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 #: Pairs whose signatures agree in less than this share are not compared.
 POSSIBLE = 0.60
+#: Neighbours a document is compared with before its components are known.
+NEIGHBOURS = 2
 #: Sets compared with one set in one task, and members of a bucket in a block.
 SHARE, BLOCK = 20_000, 512
 LOWER = np.arange(256, dtype=np.uint8)
@@ -151,9 +154,11 @@ def possible(short_a: str, short_b: str):
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), -1)
                     for c in (short_a, short_b))
-            keep = (a == b).mean(axis=1) >= POSSIBLE
+            agree = (a == b).mean(axis=1)
+            keep = pa.array(agree >= POSSIBLE)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(keep)) for c in ("x", "hub")], names=["x", "hub"])
+                [*(batch.column(c).filter(keep) for c in ("x", "hub", "star")), pa.array(agree).filter(keep)],
+                names=["x", "hub", "star", "agree"])
     return run
 
 
@@ -200,27 +205,40 @@ def owners(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sharing(reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """(rid, n_shingles, short, shared) of the candidates that may link with
+    """(rid, n_shingles, short, bands, shared) of the candidates that may link with
     anybody: ``shared`` counts the shingles another candidate has too."""
     seen = sets.mapInArrow(owners, "shingle long, owner long").groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("owner").alias("owner"))
     alone = (seen.filter("n = 1 and owner is not null").groupBy("owner")
              .agg(F.count("*").alias("alone")).withColumnRenamed("owner", "rid"))
-    return (reps.select("rid", "n_shingles", "short").join(sets.select("rid"), "rid").join(alone, "rid", "left")
+    return (reps.join(sets.select("rid"), "rid").join(alone, "rid", "left")
             .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
             .filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")))
 
 
-def star_pairs(members: DataFrame, able: DataFrame) -> DataFrame:
-    """(x, hub): each member with the one of its bucket that shares most."""
+def first_pairs(members: DataFrame, able: DataFrame) -> DataFrame:
+    """(x, hub): the comparisons made first, few a document: with the member
+    of each of its buckets that shares most, and with its most similar
+    neighbours when each bucket is sorted by other places of the signature
+    (in a chain of copies of copies, the next link)."""
     hubs = members.groupBy("bucket").agg(F.max(F.struct("shared", (-F.col("rid")).alias("r"))).alias("top"))
-    pairs = (members.join(hubs.select("bucket", (-F.col("top.r")).alias("hub")), "bucket").filter("rid <> hub")
-             .select(F.col("rid").alias("x"), "hub").distinct())
+    stars = (members.join(hubs.select("bucket", (-F.col("top.r")).alias("hub")), "bucket").filter("rid <> hub")
+             .select(F.greatest("rid", "hub").alias("x"), F.least("rid", "hub").alias("hub"), F.lit(1).alias("star")))
+    places = F.substring("short", F.pmod("bucket", F.lit(BANDS * ROWS - 8)).cast("int") + 1, F.lit(8))
+    sorted_ = Window.partitionBy("bucket").orderBy("places", "rid")
+    beside = (members.join(able.select("rid", "short"), "rid").withColumn("places", places)
+              .select("rid", F.lag("rid").over(sorted_).alias("other")).filter("other is not null")
+              .select(F.greatest("rid", "other").alias("x"), F.least("rid", "other").alias("hub"),
+                      F.lit(0).alias("star")))
     own, other = (able.select(F.col("rid").alias(name), F.col("n_shingles").alias(f"n_{name}"),
                               F.col("shared").alias(f"s_{name}"), F.col("short").alias(f"short_{name}"))
                   for name in ("x", "hub"))
-    return (pairs.join(own, "x").join(other, "hub").filter(possible_size("s_x", "n_x", "s_hub", "n_hub"))
-            .mapInArrow(possible("short_x", "short_hub"), "x long, hub long"))
+    tried = (stars.union(beside).groupBy("x", "hub").agg(F.max("star").alias("star"))
+             .join(own, "x").join(other, "hub").filter(possible_size("s_x", "n_x", "s_hub", "n_hub"))
+             .mapInArrow(possible("short_x", "short_hub"), "x long, hub long, star int, agree double"))
+    best = Window.partitionBy("x").orderBy(F.desc("agree"), "hub")
+    return (tried.withColumn("rank", F.row_number().over(best))
+            .filter((F.col("star") == 1) | (F.col("rank") <= NEIGHBOURS)).select("x", "hub"))
 
 
 def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +248,8 @@ def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid, comp, size, shared, block = (rows.column(c).to_numpy() for c in
                                           ("rid", "comp", "n_shingles", "shared", "block"))
         short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(rid), -1)
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rid), -1)
+        bucket, i, j = (rows.column(c)[0].as_py() for c in ("bucket", "i", "j"))
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
         for a in left:
@@ -239,6 +258,8 @@ def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = b[100 * most >= PERCENT * (size[b] + size[a] - most)]
             if len(b):
                 b = b[(short[b] == short[a]).mean(axis=1) >= POSSIBLE]
+                # a pair shares several buckets: its first one has it
+                b = b[bands[b, np.argmax(bands[b] == bands[a], axis=1)] == bucket]
                 found.append(np.stack([np.maximum(rid[b], rid[a]), np.minimum(rid[b], rid[a])]))
         if found:
             x, hub = np.concatenate(found, axis=1)
@@ -269,7 +290,7 @@ def open_pairs(members: DataFrame, able: DataFrame, labels: DataFrame) -> DataFr
              .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-                     "block", "rid", "comp", "n_shingles", "shared", "short"))
+                     "block", "rid", "comp", "n_shingles", "shared", "short", "bands"))
     return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .mapInArrow(across, "x long, hub long").distinct())
 
@@ -360,7 +381,7 @@ def near_duplicates(base: DataFrame) -> DataFrame:
                        .mapInArrow(set_rows, "rid long, members binary"), "sets")
     able = materialize(sharing(reps, sets), "able")
     members = buckets.join(able.select("rid", "shared"), "rid")
-    first = materialize(confirm(star_pairs(members, able), sets), "links")
+    first = materialize(confirm(first_pairs(members, able), sets), "links")
     labels = components(first)
     more = materialize(confirm(open_pairs(members, able, labels), sets), "links")
     if more.limit(1).count():
