@@ -1,8 +1,10 @@
 """Operator 7: toxicity of texts restored by noisy-channel decoding.
 
-Words written in leetspeak, with letters spaced or set apart, or with letters
-repeated are found by pattern.  Each spans a lattice: a character may stand
-for itself, for letters it resembles, for nothing (separators, repeats) or
+Noisy words are found by pattern: words that mix letters with marks that
+stand for letters or set them apart, runs of single letters with anything
+between them, and words with a letter three times in a row.  Marks at a
+word's ends that are only punctuation do not count.  Each spans a lattice: a
+character may stand for itself, for letters it resembles, for nothing (separators, repeats) or
 for a word boundary.  Viterbi picks the reading with the best sum of channel
 costs and a character trigram model counted over all texts.
 
@@ -55,12 +57,15 @@ LETTER = "a-zß-öø-ÿ"
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b",
               "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
 SEPARATORS = " ._-~*'"
+EDGE = " .,!?;:%&\"()[]{}<>"
+#: Marks that make a word noisy: anywhere, or only before more of the word.
+MARK, INNER = r"0-9@$|+*#_\-~'", ".!("
+SINGLE = rf"[{LETTER}0-9@$!|+#]"
 NOISE = re.compile(
-    rf"(?P<spaced>(?<!\S)(?:[{LETTER}0-9@$!][ ._\-*]){{2,}}[{LETTER}0-9@$!](?![^\s.,!?;:]))"
-    rf"|[{LETTER}][0-9@$!|+*#(]{{1,3}}[{LETTER}]|(?<!\S)[0-9@$!|(][{LETTER}]{{2}}|[{LETTER}]{{2}}[0-9@$](?!\S)"
-    rf"|([{LETTER}])\2\2|(?<![{LETTER}])[{LETTER}](?:[._\-~*][{LETTER}]){{2}}")
+    rf"(?P<spaced>(?<![^\s\"'(\[{{<])(?:{SINGLE}[\s._\-~*']+){{2,}}{SINGLE}(?![^\s.,!?;:\"')\]}}>]))"
+    rf"|(?<!\S)(?=[^\s{LETTER}]*+[{LETTER}])(?=\S*?(?:[{MARK}]|[{INNER}][^\s{re.escape(EDGE)}]))\S++"
+    rf"|([{LETTER}])\2\2")
 LONGEST = 64           # characters of a word that can be noisy; keys and digests are longer
-EDGE = " .,!?;:%&\"()[]{}<>"
 
 
 # ------------------------------------------------------- language model
@@ -154,6 +159,8 @@ class Restorer:
         core = word.strip(EDGE)
         if not core:
             return word
+        if word[:word.index(core)].endswith("!"):       # !diot
+            core = "!" + core
         found = self.known.get(core)
         if found is None:
             if len(self.known) > 100_000:
@@ -175,7 +182,8 @@ class Restorer:
                     b += 1
                 if b - a > LONGEST:
                     continue
-            out += [text[at:a], self.read(text[a:b])]
+            word = text[a:b]
+            out += [text[at:a], self.read(re.sub(r"\s", " ", word) if hit["spaced"] else word)]
             at = b
         return "".join(out) + text[at:] if out else text
 
