@@ -6,7 +6,11 @@ between them, and words with a letter three times in a row.  Marks at a
 word's ends that are only punctuation do not count.  Each spans a lattice: a
 character may stand for itself, for letters it resembles, for nothing (separators, repeats) or
 for a word boundary.  Viterbi picks the reading with the best sum of channel
-costs and a character trigram model counted over all texts.
+costs and a character trigram model counted over all texts.  Words of more
+than ``LONGEST`` characters have their runs of one character shortened to
+three and are then read in overlapping pieces; as they may be keys or
+digests, a mark costs no more as itself there than as a letter, so that the
+model alone decides.
 
 Restored texts are scored by five-letter runs and whole words.  Weights are
 log-odds on a bounded sample of labelled rows (``TOXIC`` and ``CLEAN`` rows
@@ -65,7 +69,10 @@ NOISE = re.compile(
     rf"(?P<spaced>(?<![^\s\"'(\[{{<])(?:{SINGLE}[\s._\-~*']+){{2,}}{SINGLE}(?![^\s.,!?;:\"')\]}}>]))"
     rf"|(?<!\S)(?=[^\s{LETTER}]*+[{LETTER}])(?=\S*?(?:[{MARK}]|[{INNER}][^\s{re.escape(EDGE)}]))\S++"
     rf"|([{LETTER}])\2\2")
-LONGEST = 64           # characters of a word that can be noisy; keys and digests are longer
+#: Characters of a word decoded at once; longer ones in pieces with a look ahead.
+LONGEST, PIECE, AHEAD = 64, 48, 16
+LITERAL = 0.6          # cost of a mark that stands for itself in those, which may be keys or digests
+RUNS, WORD = re.compile(r"(.)\1{3,}"), re.compile(r"\S*")
 
 
 # ------------------------------------------------------- language model
@@ -109,8 +116,9 @@ def symbol_of(c: str) -> int:
     return int(SYMBOL[ord(c)]) if ord(c) < 256 else OTHER
 
 
-def readings(word: str, i: int) -> list[tuple[str, float]]:
-    """What the character at ``i`` may stand for, and the channel's cost."""
+def readings(word: str, i: int, own: float = 8.0) -> list[tuple[str, float]]:
+    """What the character at ``i`` may stand for, and the channel's cost;
+    ``own`` is that of a mark that stands for itself."""
     c = word[i]
     out: list[tuple[str, float]] = []
     if c in SEPARATORS:
@@ -120,7 +128,7 @@ def readings(word: str, i: int) -> list[tuple[str, float]]:
             out.append(("", 0.3))
     if c in LOOKS_LIKE:
         out += [(x, 0.7 if c != "*" else 2.0) for x in LOOKS_LIKE[c]]
-        out.append((c, 8.0))
+        out.append((c, own))
     elif c not in SEPARATORS:
         out.append((c, 0.0))
     if i and word[i - 1] == c:                      # repeats may be one letter
@@ -131,22 +139,46 @@ def readings(word: str, i: int) -> list[tuple[str, float]]:
     return out
 
 
-def viterbi(word: str, cost: np.ndarray) -> str:
-    """The best reading of a noisy word, boundaries as spaces."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for i in range(len(word)):
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        options = [(x, symbol_of(x) if x else -1, c) for x, c in readings(word, i)]
-        for (a, b), (total, text) in best.items():
+def decoded(word: str, cost: np.ndarray, lo: int, hi: int, state: tuple[int, int], own: float = 8.0) -> list[str]:
+    """The best reading of each character of word[lo:hi] after the two symbols
+    of ``state``, boundaries as spaces."""
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {state: (0.0, None)}
+    for i in range(lo, hi):
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        options = [(x, symbol_of(x) if x else -1, c) for x, c in readings(word, i, own)]
+        for (a, b), (total, path) in best.items():
             for x, s, c in options:
                 if s < 0:
-                    key, value, grown = (a, b), total + c, text
+                    key, value = (a, b), total + c
                 else:
-                    key, value, grown = (b, s), total + c + float(cost[a, b, s]), text + x
+                    key, value = (b, s), total + c + float(cost[a, b, s])
                 if key not in step or value < step[key][0]:
-                    step[key] = (value, grown)
+                    step[key] = (value, (path, x))
         best = step
-    return min((total + float(cost[a, b, 0]), text) for (a, b), (total, text) in best.items())[1]
+    if hi == len(word):
+        best = {(a, b): (total + float(cost[a, b, 0]), path) for (a, b), (total, path) in best.items()}
+    path, out = min(best.values(), key=lambda x: x[0])[1], []
+    while path is not None:
+        path, x = path
+        out.append(x)
+    return out[::-1]
+
+
+def viterbi(word: str, cost: np.ndarray) -> str:
+    """The best reading of a noisy word, boundaries as spaces."""
+    return "".join(decoded(word, cost, 0, len(word), (0, 0)))
+
+
+def in_pieces(word: str, cost: np.ndarray, own: float) -> str:
+    """A long word's reading, PIECE characters at a time, each with AHEAD more
+    in sight."""
+    out, state = [], (0, 0)
+    for lo in range(0, len(word), PIECE):
+        text = "".join(decoded(word, cost, lo, min(len(word), lo + PIECE + AHEAD), state, own)[:PIECE])
+        for c in text:
+            state = state[1], symbol_of(c)
+        out.append(text)
+    return "".join(out)
 
 
 class Restorer:
@@ -155,7 +187,7 @@ class Restorer:
     def __init__(self, cost: np.ndarray):
         self.cost, self.known = cost, {}
 
-    def read(self, word: str) -> str:
+    def read(self, word: str, spaced: bool = False) -> str:
         core = word.strip(EDGE)
         if not core:
             return word
@@ -165,10 +197,19 @@ class Restorer:
         if found is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            found = self.known[core] = viterbi(core, self.cost)
+            found = self.decode(core, spaced)
+            if len(core) <= 4 * LONGEST:
+                self.known[core] = found
         at = word.index(core)
         return word[:at] + found + word[at + len(core):]
 
+    def decode(self, core: str, spaced: bool) -> str:
+        if len(core) > LONGEST:
+            core = RUNS.sub(r"\1\1\1", core)
+        if len(core) > LONGEST:
+            return in_pieces(core, self.cost, 8.0 if spaced else LITERAL)
+        return viterbi(core, self.cost)
+
     def __call__(self, text: str) -> str:
         out, at = [], 0
         for hit in NOISE.finditer(text):
@@ -176,14 +217,11 @@ class Restorer:
             if a < at:
                 continue
             if not hit["spaced"]:
-                while a > at and b - a <= LONGEST and not text[a - 1].isspace():
+                while a > at and not text[a - 1].isspace():
                     a -= 1
-                while b < len(text) and b - a <= LONGEST and not text[b].isspace():
-                    b += 1
-                if b - a > LONGEST:
-                    continue
+                b = WORD.match(text, b).end()
             word = text[a:b]
-            out += [text[at:a], self.read(re.sub(r"\s", " ", word) if hit["spaced"] else word)]
+            out += [text[at:a], self.read(re.sub(r"\s", " ", word), True) if hit["spaced"] else self.read(word)]
             at = b
         return "".join(out) + text[at:] if out else text
 
