@@ -8,7 +8,9 @@ undominated fillings of the room beside it are enumerated, each is used as
 often as the counts allow, and branches whose waste already rules out a
 better result than the incumbent are cut.  The first incumbent is best-fit
 decreasing.  The search ends at the lower bound, or after ``nodes`` branches
-(then the incumbent stands; it is a complete packing at any time).
+and ``DESCENTS`` more per distinct length, so that several complete packings
+are reached however many lengths there are (then the incumbent stands; it is
+a complete packing at any time).
 
 Spark then deals pieces to the places of the chosen fillings: a piece's
 number among those of its length (counted within salted sub-groups, whose
@@ -42,8 +44,10 @@ CAPACITY, CLOSING_ID = 4096, 1
 REMEMBERED = 700_000
 #: Sub-groups in which the pieces of one length are numbered.
 SALTS = 256
-#: Branches the search may take, and fillings looked at in each.
+#: Branches the search may take, and fillings looked at in each; and more
+#: branches per distinct length (a complete packing takes about one each).
 NODES, FILLINGS = 2_000, 24
+DESCENTS = 8
 
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -270,7 +274,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES,
     bound = max(-(-total // capacity), large)
     best = best_fit_decreasing(counts, capacity)
     size = sum(t for t, _ in best)
-    budget = [nodes]
+    budget = [nodes + DESCENTS * len(counts)]
 
     def extend(left: dict[int, int], used: list, bins: int, waste: int) -> bool:
         nonlocal best, size
@@ -281,6 +285,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES,
                 return size == bound
             if budget[0] <= 0:
                 return True
+            budget[0] -= 1
             lengths = sorted(left)
             top = lengths[-1]
             own = left | {top: left[top] - 1}
@@ -291,7 +296,6 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES,
                 return False
             branches = []
             for way in ways:
-                budget[0] -= 1
                 whole = dict(way)
                 whole[top] = whole.get(top, 0) + 1
                 lost = capacity - sum(x * c for x, c in whole.items())
