@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe_codec
+from .conversations import op12_conversation_repair
 from .exact import OP2_SQL, op2_exact_dedup
 from .line_templates import OP8_SQL, op8_line_templates
 from .minhash import op5_minhash_near_dedup
@@ -17,7 +18,7 @@ QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_best_fit_packing, op4_warc,
     op5_minhash_near_dedup, op6_substring_dedup, op7_toxicity,
     op8_line_templates,
-    op9_repetition_rules, op10_bpe_codec,
+    op9_repetition_rules, op10_bpe_codec, op12_conversation_repair,
 )}
 
 ORACLE: dict[str, str] = {
