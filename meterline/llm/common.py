@@ -3,6 +3,7 @@ boundaries and polynomial hashes over symbol sequences, all in numpy."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,10 +155,30 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(~space & after) + 1
 
 
+#: Longer words and lines are hashed by BLAKE2b: a polynomial modulo 2**64
+#: takes long patterns of two symbols for each other whatever its base.
+POLYNOMIAL = 64
+KEY = b"meterline"
+
+
+def digest_of(piece: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(piece, digest_size=8, key=KEY).digest(), "little")
+
+
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                 with_: Rolling = WORDS) -> np.ndarray:
-    """Hashes of ordered, disjoint byte ranges, a slice of bytes at a time
-    (a range longer than a slice makes its slice as long)."""
+    """Hashes of ordered, disjoint byte ranges, a slice of bytes at a time."""
+    out = np.zeros(len(starts), dtype=U64)
+    long_ = ends - starts > POLYNOMIAL
+    for i in np.flatnonzero(long_).tolist():
+        out[i] = digest_of(data[starts[i]:ends[i]].tobytes())
+    if long_.any():
+        out[~long_] = polynomials(data, starts[~long_], ends[~long_], with_)
+        return out
+    return polynomials(data, starts, ends, with_)
+
+
+def polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, with_: Rolling) -> np.ndarray:
     out = np.zeros(len(starts), dtype=U64)
     i = 0
     while i < len(starts):
