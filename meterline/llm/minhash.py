@@ -16,16 +16,22 @@ No bucket is turned into all its pairs:
   which in a cloud of copies is the one next to the original, and with its
   two most similar neighbours in sorted buckets; what is linked that way is
   already connected;
-* then only pairs of a bucket that are still in different components are
-  looked at, block against block, and dropped unless that bound and the
-  signatures leave a similarity of 0.75 possible.
+* then only buckets whose members are still in different components are
+  looked at.  Members are dealt into blocks; those outside the bucket's
+  largest component visit every block, and full sets are compared there where
+  that bound and the signatures leave a similarity of 0.75 possible.  A block
+  knows which components it has joined and gives one link for each, so links
+  are fewer than members; rows shuffled are the members, and for each member
+  outside the largest component the blocks of its bucket.
 
 The sets that a popular member is compared with are dealt out in shares, so
 no task gets a whole group.  Components are found by alternating large-star
 and small-star rounds on written tables.
 
 Misses: four coordinates a band and 32 bands let a pair at exactly 0.75 slip
-through with a chance of 5e-6, and less above.
+through with a chance of 5e-6, and a signature that agrees in less than
+``POSSIBLE`` of its places with one of 5e-5; both are less above 0.75.
+Shingles are compared by 64 bits of hash.
 
 Defined results: null, empty and blank texts have no set, are linked with
 nothing and stay.  Fewer words than five are one shingle.  Repeated rows are
@@ -40,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +59,7 @@ BANDS, ROWS = 32, 4
 POSSIBLE = 0.60
 #: Neighbours a document is compared with before its components are known.
 NEIGHBOURS = 2
-#: Sets compared with one set in one task, and members of a bucket in a block.
+#: Sets compared with one set in one task, and residents of a block.
 SHARE, BLOCK = 20_000, 512
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -216,24 +223,58 @@ def sharing(reps: DataFrame, sets: DataFrame) -> DataFrame:
             .filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")))
 
 
+def beside(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (bucket, places, rid): (x, hub) of neighbours in a
+    bucket, and the first and last row of the partition with its number as
+    ``part``, so that neighbours across partitions can be paired too."""
+    part, first, last = TaskContext.get().partitionId(), None, None
+    for batch in it:
+        if not len(batch):
+            continue
+        bucket, rid = (batch.column(c).to_numpy() for c in ("bucket", "rid"))
+        if last is not None:
+            bucket, rid = np.append(last[0], bucket), np.append(last[1], rid)
+        first = first or (int(bucket[0]), int(rid[0]))
+        last = int(bucket[-1]), int(rid[-1])
+        same = bucket[1:] == bucket[:-1]
+        a, b = rid[1:][same], rid[:-1][same]
+        yield pa.RecordBatch.from_pydict({
+            "x": pa.array(np.maximum(a, b)), "hub": pa.array(np.minimum(a, b)),
+            "part": pa.nulls(len(a), pa.int32()), "bucket": pa.nulls(len(a), pa.int64())})
+    if first is not None:
+        yield pa.RecordBatch.from_pydict({
+            "x": pa.array([first[1], last[1]], pa.int64()), "hub": pa.array([0, 1], pa.int64()),
+            "part": pa.array([part, part], pa.int32()), "bucket": pa.array([first[0], last[0]], pa.int64())})
+
+
+def neighbours(members: DataFrame, able: DataFrame) -> DataFrame:
+    """(x, hub): neighbours when each bucket is sorted by other places of the
+    signature (in a chain of copies of copies, the next link).  A bucket may
+    be spread over partitions; their ends are two rows a partition."""
+    places = F.substring("short", F.pmod("bucket", F.lit(BANDS * ROWS - 8)).cast("int") + 1, F.lit(8))
+    order = ("bucket", "places", "rid")
+    pairs = materialize(members.select("bucket", "rid").join(able.select("rid", "short"), "rid")
+                        .select("bucket", places.alias("places"), "rid")
+                        .repartitionByRange(*order).sortWithinPartitions(*order)
+                        .mapInArrow(beside, "x long, hub long, part int, bucket long"), "beside")
+    ends = sorted((r["part"], r["hub"], r["bucket"], r["x"]) for r in pairs.filter("part is not null").collect())
+    across = [(max(a[3], b[3]), min(a[3], b[3])) for a, b in zip(ends[1::2], ends[2::2]) if a[2] == b[2]]
+    return pairs.filter("part is null").select("x", "hub").union(
+        members.sparkSession.createDataFrame(across, "x long, hub long"))
+
+
 def first_pairs(members: DataFrame, able: DataFrame) -> DataFrame:
     """(x, hub): the comparisons made first, few a document: with the member
     of each of its buckets that shares most, and with its most similar
-    neighbours when each bucket is sorted by other places of the signature
-    (in a chain of copies of copies, the next link)."""
+    neighbours in sorted buckets."""
     hubs = members.groupBy("bucket").agg(F.max(F.struct("shared", (-F.col("rid")).alias("r"))).alias("top"))
     stars = (members.join(hubs.select("bucket", (-F.col("top.r")).alias("hub")), "bucket").filter("rid <> hub")
              .select(F.greatest("rid", "hub").alias("x"), F.least("rid", "hub").alias("hub"), F.lit(1).alias("star")))
-    places = F.substring("short", F.pmod("bucket", F.lit(BANDS * ROWS - 8)).cast("int") + 1, F.lit(8))
-    sorted_ = Window.partitionBy("bucket").orderBy("places", "rid")
-    beside = (members.join(able.select("rid", "short"), "rid").withColumn("places", places)
-              .select("rid", F.lag("rid").over(sorted_).alias("other")).filter("other is not null")
-              .select(F.greatest("rid", "other").alias("x"), F.least("rid", "other").alias("hub"),
-                      F.lit(0).alias("star")))
     own, other = (able.select(F.col("rid").alias(name), F.col("n_shingles").alias(f"n_{name}"),
                               F.col("shared").alias(f"s_{name}"), F.col("short").alias(f"short_{name}"))
                   for name in ("x", "hub"))
-    tried = (stars.union(beside).groupBy("x", "hub").agg(F.max("star").alias("star"))
+    tried = (stars.union(neighbours(members, able).filter("x <> hub").withColumn("star", F.lit(0)))
+             .groupBy("x", "hub").agg(F.max("star").alias("star"))
              .join(own, "x").join(other, "hub").filter(possible_size("s_x", "n_x", "s_hub", "n_hub"))
              .mapInArrow(possible("short_x", "short_hub"), "x long, hub long, star int, agree double"))
     best = Window.partitionBy("x").orderBy(F.desc("agree"), "hub")
@@ -241,62 +282,102 @@ def first_pairs(members: DataFrame, able: DataFrame) -> DataFrame:
             .filter((F.col("star") == 1) | (F.col("rank") <= NEIGHBOURS)).select("x", "hub"))
 
 
+class Residents:
+    """The members of one block of an open bucket, and which of the components
+    met there are joined by links found there."""
+
+    def __init__(self):
+        self.rows: list[dict] = []
+        self.parent: dict[int, int] = {}
+        self.columns: tuple | None = None
+
+    def root(self, comp: int) -> int:
+        at = self.parent.setdefault(comp, comp)
+        while at != self.parent[at]:
+            self.parent[at] = at = self.parent[self.parent[at]]
+        return at
+
+    def links(self, own: dict, bucket: int) -> Iterator[int]:
+        """The residents that ``own`` has to be linked with, one a component."""
+        if self.columns is None:
+            self.columns = (*(np.array([r[c] for r in self.rows]) for c in ("rid", "comp", "n_shingles", "shared", "settled")),
+                            np.frombuffer(b"".join(r["short"] for r in self.rows), np.uint8).reshape(len(self.rows), -1),
+                            np.array([r["bands"] for r in self.rows]))
+        rid, comp, size, shared, settled, short, bands = self.columns
+        most = np.minimum(shared, own["shared"])
+        # each pair once: visitors that are residents elsewhere come to the smaller one
+        near = np.flatnonzero((comp != own["comp"]) & (settled | (rid < own["rid"]))
+                              & (100 * most >= PERCENT * (size + own["n_shingles"] - most)))
+        if not len(near):
+            return
+        agree = (short[near] == np.frombuffer(own["short"], np.uint8)).mean(axis=1)
+        near, agree = near[agree >= POSSIBLE], agree[agree >= POSSIBLE]
+        # a pair shares several buckets: its first one has it
+        mine = np.array(own["bands"])
+        near_first = bands[near, np.argmax(bands[near] == mine, axis=1)] == bucket
+        near, agree = near[near_first], agree[near_first]
+        base = np.frombuffer(own["members"], U64)
+        for k in near[np.argsort(-agree, kind="stable")].tolist():
+            a, b = self.root(int(comp[k])), self.root(own["comp"])
+            if a != b and similar(base, np.frombuffer(self.rows[k]["members"], U64)):
+                self.parent[max(a, b)] = min(a, b)
+                yield int(rid[k])
+
+
 def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, i, j): pairs of block i and block j that are in
-    different components and may be similar."""
-    def pairs(rows: pa.Table):
-        rid, comp, size, shared, block = (rows.column(c).to_numpy() for c in
-                                          ("rid", "comp", "n_shingles", "shared", "block"))
-        short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(rid), -1)
-        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rid), -1)
-        bucket, i, j = (rows.column(c)[0].as_py() for c in ("bucket", "i", "j"))
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = []
-        for a in left:
-            b = right[(comp[right] != comp[a]) & ((rid[right] > rid[a]) | (i != j))]
-            most = np.minimum(shared[b], shared[a])
-            b = b[100 * most >= PERCENT * (size[b] + size[a] - most)]
-            if len(b):
-                b = b[(short[b] == short[a]).mean(axis=1) >= POSSIBLE]
-                # a pair shares several buckets: its first one has it
-                b = b[bands[b, np.argmax(bands[b] == bands[a], axis=1)] == bucket]
-                found.append(np.stack([np.maximum(rid[b], rid[a]), np.minimum(rid[b], rid[a])]))
-        if found:
-            x, hub = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(hub)], names=["x", "hub"])
-
-    held: pa.Table | None = None
+    """Rows sorted by (bucket, block, visitor): links (x, hub) that join two
+    components.  A block's residents are held, its visitors pass by."""
+    key, block = None, Residents()
     for batch in it:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        key = [held.column(c).to_numpy() for c in ("bucket", "i", "j")]
-        new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
-        cuts = [0, *new.tolist()]
-        for a, b in zip(cuts, cuts[1:]):
-            yield from pairs(held.slice(a, b - a))
-        held = held.slice(cuts[-1]).combine_chunks()
-    if held is not None and len(held):
-        yield from pairs(held)
-
-
-def open_pairs(members: DataFrame, able: DataFrame, labels: DataFrame) -> DataFrame:
-    """(x, hub): pairs of a bucket that stars have left in different components."""
+        x, hub = [], []
+        for row in batch.to_pylist():
+            if key != (row["bucket"], row["block"]):
+                key, block = (row["bucket"], row["block"]), Residents()
+            if not row["visitor"]:
+                block.rows.append(row)
+                continue
+            for other in block.links(row, row["bucket"]) if block.rows else ():
+                x.append(max(other, row["rid"]))
+                hub.append(min(other, row["rid"]))
+        if x:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(hub, pa.int64())], names=["x", "hub"])
+
+
+def open_links(members: DataFrame, able: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(x, hub): links of buckets whose members are still in different
+    components.  The members of a bucket are dealt into blocks by hash; those
+    of its largest component stay there, the others visit every block, are
+    compared with the full sets of what may be similar, and only a link that
+    joins two components is kept (fewer than a block has components)."""
     known = members.select("bucket", "rid").join(labels, "rid", "left").withColumn(
         "comp", F.coalesce("comp", "rid"))
-    open_ = (known.groupBy("bucket")
-             .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-             .filter("lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    dealt = (known.join(open_, "bucket").join(able, "rid")
-             .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-                     "block", "rid", "comp", "n_shingles", "shared", "short", "bands"))
-    return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    open_ = (known.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+             .groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("comps"),
+                                    F.max(F.struct("n", "comp"))["comp"].alias("largest"))
+             .filter("comps > 1").select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    home = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    # residents have visitor 0; every member outside the largest component visits
+    stays = F.array(F.struct(home.alias("block"), F.lit(0).alias("visitor")))
+    goes = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(b.alias("block"), F.lit(1).alias("visitor")))
+    dealt = (known.join(open_, "bucket").withColumn("settled", F.col("comp") == F.col("largest"))
+             .select("bucket", "rid", "comp", "settled", F.explode(
+                 F.when(F.col("settled"), stays).otherwise(F.concat(stays, goes))).alias("to"))
+             .select("bucket", "rid", "comp", "settled", "to.*")
+             .join(able.select("rid", "n_shingles", "shared", "short", "bands"), "rid").join(sets, "rid"))
+    return (dealt.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "visitor", "rid")
             .mapInArrow(across, "x long, hub long").distinct())
 
 
 # ---------------------------------------------------------- verification
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are linked."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[at] == small).sum())
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
 def confirmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, share, member): the hub's set, then those to
     compare with it, one at a time."""
@@ -312,9 +393,7 @@ def confirmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if key != (h, share):
                 raise ValueError("a set came before the one it is compared with")
-            at = np.minimum(np.searchsorted(base, own), len(base) - 1)
-            common = int((base[at] == own).sum())
-            if 100 * common >= PERCENT * (len(base) + len(own) - common):
+            if similar(base, own):
                 x.append(rid)
                 hub.append(h)
         if x:
@@ -380,10 +459,10 @@ def near_duplicates(base: DataFrame) -> DataFrame:
     sets = materialize(base.select("rid", "text").join(candidates, "rid")
                        .mapInArrow(set_rows, "rid long, members binary"), "sets")
     able = materialize(sharing(reps, sets), "able")
-    members = buckets.join(able.select("rid", "shared"), "rid")
+    members = materialize(buckets.join(able.select("rid", "shared"), "rid"), "members")
     first = materialize(confirm(first_pairs(members, able), sets), "links")
     labels = components(first)
-    more = materialize(confirm(open_pairs(members, able, labels), sets), "links")
+    more = materialize(open_links(members, able, sets, labels), "links")
     if more.limit(1).count():
         labels = components(first.union(more))
     names = own.select(F.col("rid").alias("to"), F.col("doc_id").alias("component_id"))
