@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -73,6 +73,19 @@ def partition_counts(df: DataFrame, part_col: str) -> DataFrame:
               .orderBy(F.col("total_rows").desc(), F.col(part_col)))
 
 
+def partition_counts_from_catalog(spark: SparkSession, name: str, part_col: str) -> DataFrame:
+    """S12 from metadata: the counts that were kept when the table was written
+    or last analysed; a partition without one is an error, not a guess."""
+    from meterline.operators.sinks import partition_statistics
+    kind = spark.table(name).schema[part_col].dataType.simpleString()
+    rows = [(None if v == "__HIVE_DEFAULT_PARTITION__" else v, n) for v, n, _ in partition_statistics(spark, name, part_col)]
+    if any(n is None for _, n in rows):
+        raise ValueError(f"{name} has partitions without statistics")
+    return (spark.createDataFrame(rows, "v string, total_rows bigint")
+            .select(F.col("v").cast(kind).alias(part_col), "total_rows")
+            .orderBy(F.col("total_rows").desc(), F.col(part_col)))
+
+
 def year_of(ts) -> Column:
     """EXTRACT(YEAR) as BIGINT."""
     return F.year(F.col(ts) if isinstance(ts, str) else ts).cast("bigint")

@@ -243,19 +243,35 @@ def _registered(spark: SparkSession, source: DataFrame, name: str, path: str, pa
     return spark.table(name), created
 
 
-def _merge_partitions(spark: SparkSession, batch: DataFrame, target: DataFrame, name: str,
-                      keys: Sequence[str], part_col: str, created: bool) -> None:
+def partitions_of_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], part_col: str) -> list:
+    """Partitions of ``target`` that hold a key of ``batch``: reads the key
+    and partition columns only, of the whole table."""
+    held = target.select(*keys, part_col).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    return partition_values(held, part_col)
+
+
+def _merge_partitions(spark: SparkSession, batch: DataFrame, path: str, target: DataFrame, name: str,
+                      keys: Sequence[str], part_col: str, created: bool, key_fixes_partition: bool) -> None:
     """Write a staged batch: partitions the table lacks are appended as they
-    are; of the others the rows whose key is in the batch give way."""
+    are; of the others the rows whose key is in the batch give way, also in
+    partitions the batch has no row for unless the key fixes the partition."""
     values = partition_values(batch, part_col)
     old = set() if created else sinks.listed_partitions(spark, name)
     shared = [v for v in values if (None if v is None else str(v)) in old]
-    if shared:
-        touched = target.filter(in_partitions(part_col, shared))
+    left = [] if created or key_fixes_partition else [
+        v for v in partitions_of_keys(target, batch, keys, part_col) if v not in shared]
+    if shared or left:
+        touched = target.filter(in_partitions(part_col, shared + left))
         own = batch.filter(in_partitions(part_col, shared))
-        merged = touched.join(own.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+        gone = batch if left else own
+        merged = touched.join(gone.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
         with sinks.staged(merged.unionByName(own), f"{name}_merged") as new:
+            still = partition_values(new, part_col) if left else []
             sinks.overwrite_table_partitions(new, name, part_col)
+        emptied = [v for v in left if v not in still]
+        sinks.drop_table_partitions(spark, name, path, part_col, [v for v in emptied if v is not None])
+        if None in emptied:
+            sinks.drop_null_partition(spark, name, path, part_col)
     if len(shared) < len(values):
         sinks.append_table_partitions(
             batch.filter(in_partitions(part_col, [v for v in values if v not in shared])), name, part_col)
@@ -263,13 +279,17 @@ def _merge_partitions(spark: SparkSession, batch: DataFrame, target: DataFrame,
 
 def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
                        part_col: str, append_new_columns: bool = True, full_refresh: bool = False,
-                       check: Callable[[DataFrame], object] | None = None) -> int:
+                       check: Callable[[DataFrame], object] | None = None,
+                       key_fixes_partition: bool = False) -> int:
     """K10/K11 on a partitioned catalog table (an incremental model).
 
-    The key must determine ``part_col`` (the trip key holds the pickup time
-    and the table is partitioned by its month), so a key's old row can only
-    sit in a partition the batch has rows for: only those are read, merged
-    and rewritten, and a run costs its batch, not the table.  A source column
+    A key's old row may sit in another partition than its new one (a date
+    that was corrected): the partitions that hold keys of the batch are found
+    by one scan of the key and partition columns, and rewritten too.  With
+    ``key_fixes_partition`` the caller vouches that the key determines
+    ``part_col`` (the trip key holds the pickup time and the table is
+    partitioned by its month): then only partitions the batch has rows for
+    are looked at, and a run costs its batch, not the table.  A source column
     unknown to the table is added to it first (old rows read NULL); one the
     source lacks is NULL in its rows.  A key that repeats in the batch is an
     error, on the first run too.  ``full_refresh`` (K14) drops what is there
@@ -287,25 +307,28 @@ def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path:
         if n == 0 and not full_refresh and spark.catalog.tableExists(name):
             return 0
         target, created = _registered(spark, batch, name, path, part_col, append_new_columns, full_refresh)
-        _merge_partitions(spark, aligned(batch, target), target, name, ks, part_col, created)
+        _merge_partitions(spark, aligned(batch, target), path, target, name, ks, part_col, created,
+                          key_fixes_partition)
         return n
 
 
 def delete_insert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
-                        part_col: str) -> int:
+                        part_col: str, key_fixes_partition: bool = False) -> int:
     """K13 on a partitioned catalog table: as the upsert, but rows that share
     a key in the batch are all inserted."""
     with sinks.staged(source, f"{name}_batch") as batch:
         n = batch.count()
         if n:
             target, created = _registered(spark, batch, name, path, part_col, False, False)
-            _merge_partitions(spark, aligned(batch, target), target, name, _keys(key), part_col, created)
+            _merge_partitions(spark, aligned(batch, target), path, target, name, _keys(key), part_col, created,
+                              key_fixes_partition)
         return n
 
 
 def merge_insert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,
                        part_col: str) -> int:
-    """K9 on a partitioned catalog table: appends the batch rows whose key the
+    """K9 on a partitioned catalog table whose key fixes the partition (a
+    fingerprint that holds the pickup time): appends the batch rows whose key the
     table lacks (keys that repeat inside the batch are all inserted); reads
     the batch's partitions only.  Returns the number of rows inserted."""
     with sinks.staged(source, f"{name}_batch") as batch:

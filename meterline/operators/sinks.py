@@ -86,6 +86,40 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     return df.sparkSession.table(name)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, key, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """A catalog table hashed into ``buckets`` by ``key`` and sorted by it in
+    each file: joins and aggregates on the key read it without an exchange.
+    One task writes one bucket, so a batch is one file a bucket."""
+    keys = _as_list(key)
+    (df.repartition(buckets, *keys).write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def analyze_partitions(spark: SparkSession, name: str, part_col: str, values: Sequence | None = None) -> None:
+    """Keep row counts and sizes of partitions in the catalog: all of them by
+    one job, or those a write has touched."""
+    if values is None:
+        spark.sql(f"ANALYZE TABLE {name} PARTITION ({part_col}) COMPUTE STATISTICS")
+    for v in values or ():
+        spark.sql(f"ANALYZE TABLE {name} PARTITION ({part_col} = '{v}') COMPUTE STATISTICS")
+
+
+def partition_statistics(spark: SparkSession, name: str, part_col: str) -> list[tuple[str, int | None, int | None]]:
+    """(value, rows, bytes) of every partition as the catalog has them; no
+    file is listed or opened.  None where nothing was computed."""
+    state = spark._jsparkSession.sessionState()
+    listed = state.catalog().listPartitions(state.sqlParser().parseTableIdentifier(name), spark._jvm.scala.Option.empty())
+    out, it = [], listed.iterator()
+    while it.hasNext():
+        part = it.next()
+        value, stats = part.spec().get(part_col).get(), part.stats()
+        rows = stats.get().rowCount() if stats.isDefined() else None
+        out.append((value, int(str(rows.get())) if rows is not None and rows.isDefined() else None,
+                    int(str(stats.get().sizeInBytes())) if stats.isDefined() else None))
+    return out
+
+
 def is_dynamic(spark: SparkSession, name: str) -> bool:
     """Whether overwriting ``name`` replaces only the partitions written to."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
@@ -139,13 +173,22 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 def drop_table_partitions(spark: SparkSession, name: str, path: str, part_col: str,
                           values: Sequence) -> None:
-    """Remove partitions (catalog entry and folder) that an interval
-    replacement left without rows."""
-    for v in values:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part_col} = '{v}')")
+    """Remove partitions (catalog entries and folders) that a merge or an
+    interval replacement left without rows, in one catalog change."""
+    if not values:
+        return
+    parts = ", ".join(f"PARTITION ({part_col} = '{v}')" for v in values)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    for v in values:                     # an external table keeps its files
         delete_folder(spark, f"{path.rstrip('/')}/{part_col}={v}")
 
 
+def drop_null_partition(spark: SparkSession, name: str, path: str, part_col: str) -> None:
+    """As above for the rows whose partition value is NULL."""
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part_col} = null)")
+    delete_folder(spark, f"{path.rstrip('/')}/{part_col}=__HIVE_DEFAULT_PARTITION__")
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` written once under the shared folder, for the time of a merge;

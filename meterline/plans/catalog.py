@@ -651,7 +651,7 @@ def _upsert(spark, sf_dir, new_column: bool):
     name, path = monthly_table(spark, old, "orders_upsert")
     forget(spark, name)
     merge.merge_upsert_table(spark, _upsert_source(spark, sf_dir, new_column), name, path,
-                             "o_orderkey", "order_month")
+                             "o_orderkey", "order_month", key_fixes_partition=True)
     forget(spark, name)          # read it as the next session would
     from meterline.operators.sinks import create_table_if_absent
     create_table_if_absent(spark, monthly_orders(spark, sf_dir), name, path, "order_month")
@@ -705,7 +705,8 @@ def q_delete_insert(spark, sf_dir):
              .filter((F.col("o_orderstatus") == "F") &
                      (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
              .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    merge.delete_insert_table(spark, batch.unionByName(batch), name, path, "o_orderkey", "order_month")
+    merge.delete_insert_table(spark, batch.unionByName(batch), name, path, "o_orderkey", "order_month",
+                              key_fixes_partition=True)
     return spark.table(name).select(*ORDER_COLS)
 
 
@@ -732,12 +733,14 @@ def q_incremental_fact(spark, sf_dir):
     def contract(df: DataFrame) -> DataFrame:
         return enforce_contract(df.drop("pickup_month"), FCT_TRIPS_CONTRACT)
 
-    merge.merge_upsert_table(spark, monthly(first), name, path, "trip_id", "pickup_month", check=contract)
+    merge.merge_upsert_table(spark, monthly(first), name, path, "trip_id", "pickup_month", check=contract,
+                             key_fixes_partition=True)
     forget(spark, name)          # the next scheduled run is another session
     create_table_if_absent(spark, monthly(full), name, path, "pickup_month")
     new = merge.incremental_rows(monthly(fact(spark, sf_dir)), spark.table(name),
                                  "pickup_datetime", part_col="pickup_month")
-    merge.merge_upsert_table(spark, new, name, path, "trip_id", "pickup_month", check=contract)
+    merge.merge_upsert_table(spark, new, name, path, "trip_id", "pickup_month", check=contract,
+                             key_fixes_partition=True)
     return spark.table(name).select("trip_id", "pickup_datetime", "service_type",
                                     money("total_amount").alias("total_amount"))
 
@@ -1054,21 +1057,35 @@ def _run(spark, sf_dir, plan) -> DataFrame:
 
 @register("check_not_null")
 def q_check_not_null(spark, sf_dir):
-    """Q1: the declared not-null checks of staging, intermediate, fact and mart."""
+    """Q1: the declared not-null checks of staging, intermediate, fact and
+    mart, counted while the models are computed, each model once."""
+    from meterline.operators.audit import counted, observed
     from meterline.operators.quality import not_null as nn
+    from meterline.plans import interval
+    from meterline.sources.files import payment_lookup
     core = ["trip_id", "vendor_id", "service_type", "pickup_datetime", "total_amount"]
-    return _run(spark, sf_dir, [
-        ("stg_yellow", [nn("vendor_id"), nn("pickup_datetime")]),
-        ("stg_green", [nn("vendor_id"), nn("pickup_datetime")]),
-        ("int_trips", [nn(c) for c in core]),
-        ("fct_trips", [nn(c) for c in core]),
-        ("fct_monthly_zone_revenue", [nn(c) for c in (
-            "pickup_zone", "revenue_month", "service_type", "revenue_monthly_total_amount",
-            "total_monthly_trips")]),
-        ("payment_lookup", [nn("payment_type_id"), nn("payment_type_name")]),
-        ("staging_trips", [nn("pickup_datetime"), nn("dropoff_datetime")]),
-        ("trips_report", [nn("pickup_date")]),
-    ])
+    seen = []
+
+    def seeing(model: str, df: DataFrame, columns) -> DataFrame:
+        checks = [nn(c) for c in columns]
+        df, observation = observed(df, checks)
+        seen.append((model, checks, observation))
+        return df
+
+    y, g = staged(spark, sf_dir)
+    y = seeing("stg_yellow", y, ["vendor_id", "pickup_datetime"])
+    g = seeing("stg_green", g, ["vendor_id", "pickup_datetime"])
+    t = models.build_trips(staging.union_trips(g, y, carry=adapter.TIE_BREAKERS), tie_breakers=adapter.TIE_BREAKERS)
+    f = seeing("fct_trips", models.fct_trips(seeing("int_trips", t, core), zones_dim(spark, sf_dir)), core)
+    mart = seeing("fct_monthly_zone_revenue", models.monthly_zone_revenue(f), [
+        "pickup_zone", "revenue_month", "service_type", "revenue_monthly_total_amount", "total_monthly_trips"])
+    lookup = seeing("payment_lookup", payment_lookup(spark), ["payment_type_id", "payment_type_name"])
+    s = seeing("staging_trips", interval_staged(spark, sf_dir), ["pickup_datetime", "dropoff_datetime"])
+    report = seeing("trips_report", interval.daily_report(s, *INTERVAL, ordered=False), ["pickup_date"])
+    for last in (mart, lookup, report):
+        last.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(model, *row) for model, checks, o in seen for row in counted(checks, o)],
+                                 "model string, check_name string, column_name string, failed_rows long, passed boolean")
 
 
 @register("check_unique")
@@ -1184,3 +1201,6 @@ def q_contract_report(spark, sf_dir):
     from meterline.schemas import FCT_TRIPS_CONTRACT
     path = write_table(enforce_contract(fact(spark, sf_dir), FCT_TRIPS_CONTRACT), _scratch(spark, "fct_contract"))
     return contract_report(spark.read.parquet(path), FCT_TRIPS_CONTRACT)
+
+
+from meterline.plans import catalog_loads  # noqa: E402, F401  registers its queries

@@ -143,6 +143,21 @@ def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
     return g.orderBy(*order)
 
 
+def daily_reports(staged: DataFrame, start, end, scale: str = MONEY_SCALE) -> DataFrame:
+    """A8 and A9 in one pass: rows of the report by day and taxi type
+    (``report`` "taxi_type", payment type NULL) and of the one by payment type
+    too ("payment_type"), by GROUPING SETS over one scan.  ``grouping`` tells
+    a payment type that is NULL from one that was rolled up."""
+    s, e = _check_bounds(start, end, "date")
+    rows = staged.filter(in_interval("pickup_datetime", s, e)).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    keys = [F.col("pickup_date"), F.col("taxi_type"), F.col("payment_type")]
+    return (rows.groupingSets([keys[:2], keys], *keys)
+            .agg(F.when(F.grouping("payment_type") == 1, "taxi_type").otherwise("payment_type").alias("report"),
+                 F.count(F.lit(1)).alias("total_trips"),
+                 *[c for name in ("fare_amount", "tip_amount", "trip_distance")
+                   for c in (exact_sum(name, scale).alias(f"total_{name}"), exact_avg(name, scale).alias(f"avg_{name}"))]))
+
+
 # --- one run of the pipeline, persisted ---------------------------------------------------
 
 MONTH_COL = "pickup_month"
