@@ -167,15 +167,12 @@ def digest_of(piece: bytes) -> int:
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                 with_: Rolling = WORDS) -> np.ndarray:
-    """Hashes of ordered, disjoint byte ranges, a slice of bytes at a time."""
-    out = np.zeros(len(starts), dtype=U64)
-    long_ = ends - starts > POLYNOMIAL
-    for i in np.flatnonzero(long_).tolist():
+    """Hashes of ordered, disjoint byte ranges, a slice of bytes at a time
+    (a range longer than a slice makes its slice as long)."""
+    out = polynomials(data, starts, ends, with_)
+    for i in np.flatnonzero(ends - starts > POLYNOMIAL).tolist():
         out[i] = digest_of(data[starts[i]:ends[i]].tobytes())
-    if long_.any():
-        out[~long_] = polynomials(data, starts[~long_], ends[~long_], with_)
-        return out
-    return polynomials(data, starts, ends, with_)
+    return out
 
 
 def polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, with_: Rolling) -> np.ndarray:

@@ -330,7 +330,9 @@ def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, block = None, Residents()
     for batch in it:
         x, hub = [], []
-        for row in batch.to_pylist():
+        # sets are long: a few rows at a time become objects
+        rows = (row for at in range(0, len(batch), 128) for row in batch.slice(at, 128).to_pylist())
+        for row in rows:
             if key != (row["bucket"], row["block"]):
                 key, block = (row["bucket"], row["block"]), Residents()
             if not row["visitor"]:
