@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import by_bytes, read
 from .packing import byte_alphabet, vocabulary_path
 
 #: Fixed value: the pretoken pattern of this kind of vocabulary, with white
@@ -41,8 +41,8 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
 MANY = 1 << 31
 #: Pretokens a task remembers; beyond that it starts anew.
 REMEMBERED = 500_000
-#: Rows cut together, and bytes of new pretokens in one index.
-ROWS, INDEXED = 8192, 2_000_000
+#: Bytes of text cut together (more only for one row), and bytes of new pretokens in one index.
+TEXT_BYTES, INDEXED = 8 << 20, 2_000_000
 
 
 class Vocabulary:
@@ -162,8 +162,7 @@ def coded(path: str, keep_ids: bool):
                 (b"".join(back[i:j]) for i, j in zip(begin, begin[1:])))))
 
         for batch in it:
-            for at in range(0, len(batch), ROWS):
-                part = batch.slice(at, ROWS)
+            for part in by_bytes(batch, TEXT_BYTES):
                 texts = [t.decode("utf-8", "replace") for t in
                          part.column("text").fill_null("").cast(pa.binary()).to_pylist()]
                 cut = [pretokens(t, vocabulary) for t in texts]
