@@ -17,8 +17,12 @@ log-odds on a bounded sample of labelled rows (``TOXIC`` and ``CLEAN`` rows
 by smallest hash of the id); a second part of that sample calibrates the
 score.  Only rows outside the held-out fold are learnt from.
 
+Both classes are counted before any run or word is left out; what ranks them
+is the log-odds less a multiple (``CAUTION``) of its standard error, so that
+no share of the toxic rows is asked for, however many they are.
+
 Sizes that are collected: the trigram table (at most 61**3 counts), the
-candidate features (``CANDIDATES``) and the calibration rows (``TOXIC`` +
+features kept (``FEATURES``) and the calibration rows (``TOXIC`` +
 ``CLEAN``).
 
 Defined results: null and empty texts score what no evidence gives.  A null
@@ -43,8 +47,8 @@ from .common import FIRST, SLICE, U64, materialize, mix, read
 
 #: Labelled rows learnt from, at most; one in FOLD calibrates.
 TOXIC, CLEAN, FOLD = 4_000, 12_000, 6
-#: Features counted and kept, at most; share of toxic rows one must be in.
-CANDIDATES, FEATURES, SUPPORT = 20_000, 4_000, 50
+#: Features kept, at most: those of the greatest weight.
+FEATURES = 4_000
 RUN, LOWEST_WEIGHT, STRONGEST, CAUTION = 5, 1.0, 3, 2.5
 #: Rows restored and scored together.
 ROWS = 256
@@ -280,26 +284,27 @@ def high_bits(table: np.ndarray) -> np.ndarray:
     return seen
 
 
-def counted(cost: np.ndarray, table: np.ndarray | None):
-    """mapInArrow: in how many of the rows each feature is (only those of
-    ``table``, if given), summed within the task's batches."""
+def counted(cost: np.ndarray):
+    """mapInArrow: in how many of the rows each feature is, summed over
+    ``ROWS`` rows at a time."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(cost)
-        seen = None if table is None else high_bits(table)
         for batch in it:
-            held = []
             for at in range(0, len(batch), ROWS):
                 row, what = features([restore(t) for t in lowered(batch.slice(at, ROWS))])
-                if table is not None:
-                    row, what = known_only(row, what, table, seen)
-                held.append(distinct(row, what)[1])
-            if held:
-                what, n = np.unique(np.concatenate(held), return_counts=True)
+                what, n = np.unique(distinct(row, what)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(n.astype(np.int64))],
                                                  names=["feature", "n"])
     return run
 
 
+def weight_of(t, n, toxic: int, clean: int) -> F.Column:
+    """Log-odds of a feature in ``t`` of the toxic and ``n`` of the clean rows,
+    less what chance may add among so many features."""
+    odds = F.log((t + 0.5) / (toxic + 1)) - F.log((n + 2) / (clean + 1))
+    return odds - CAUTION * F.sqrt(1 / (t + 0.5) + 1 / (n + 2))
+
+
 # ------------------------------------------------------------------ model
 
 @dataclass
@@ -382,25 +387,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return model
     parts = sample.sparkSession.sparkContext.defaultParallelism
 
-    def count(label: int, table: np.ndarray | None) -> DataFrame:
+    def count(label: int) -> DataFrame:
         own = sample.filter((F.col("toxic") == label) & ~F.col("check")).select("text").repartition(parts)
-        return own.mapInArrow(counted(model.cost, table), "feature long, n long").groupBy("feature").agg(
-            F.sum("n").alias("n"))
-
-    found = (count(1, None).filter(F.col("n") >= max(3, toxic // SUPPORT))
-             .orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect())
-    order = np.argsort(np.array([r["feature"] for r in found], dtype=np.int64).view(U64))
-    table = np.array([r["feature"] for r in found], dtype=np.int64).view(U64)[order]
-    t = np.array([r["n"] for r in found], dtype=float)[order]
-    n = np.zeros(len(table))
-    for r in count(0, table).collect():                       # <= CANDIDATES
-        n[np.searchsorted(table, np.array([r["feature"]], dtype=np.int64).view(U64))[0]] = r["n"]
-    # log-odds less what chance may add among so many features
-    weight = (np.log((t + 0.5) / (toxic + 1)) - np.log((n + 2) / (clean + 1))
-              - CAUTION * np.sqrt(1 / (t + 0.5) + 1 / (n + 2)))
-    good = np.flatnonzero(weight >= LOWEST_WEIGHT)
-    good = np.sort(good[np.lexsort((good, -weight[good]))][:FEATURES])
-    model.table, model.weight = table[good], weight[good]
+        n = own.mapInArrow(counted(model.cost), "feature long, n long")
+        return n.select("feature", *[(F.col("n") if label == x else F.lit(0)).alias(f"of{x}") for x in (0, 1)])
+
+    both = count(1).unionByName(count(0)).groupBy("feature").agg(F.sum("of1").alias("t"), F.sum("of0").alias("n"))
+    found = (both.withColumn("weight", weight_of(F.col("t"), F.col("n"), toxic, clean))
+             .filter(F.col("weight") >= LOWEST_WEIGHT).orderBy(F.desc("weight"), "feature").limit(FEATURES).collect())
+    table = np.array([r["feature"] for r in found], dtype=np.int64).view(U64)
+    order = np.argsort(table)
+    model.table, model.weight = table[order], np.array([r["weight"] for r in found], dtype=float)[order]
     rows = (sample.filter("check").select("toxic", "text").repartition(parts)
             .mapInArrow(scored(model), "toxic int, evidence double, score double, predicted int")
             .select("toxic", "evidence").collect())           # <= TOXIC + CLEAN
