@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import FIRST, SECOND, SLICE, U64, list_slices, mix, sorted_by, text_buffer
+from .common import FIRST, SECOND, SLICE, U64, list_slices, mix, row_slices, sorted_by, text_buffer
 
 ROW = pa.schema([("key", pa.int64()), ("ctx", pa.int64()), ("rid", pa.int64()),
                  ("a", pa.int64()), ("o1", pa.int32()), ("o2", pa.int32()),
@@ -46,7 +46,9 @@ SAMPLE = 32
 #: A key below so many rows is never treated as frequent.
 GROUP_ROWS = 5_000
 #: Rows sorted at once in a task, more only if one key has more.
-BLOCK_ROWS = 60_000
+BLOCK_ROWS = 20_000
+#: Bytes of text of which a task holds the symbols at once, more only for one row.
+TEXT_BYTES = 4 << 20
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -130,11 +132,18 @@ def extract(symbols_of: Callable, width: int, k: int, hot: np.ndarray) -> Callab
         for batch in it:
             batch = sorted_by(batch, "rid")
             rid = batch.column("rid").to_numpy(zero_copy_only=False).astype(np.int64)
-            symbols, offsets = symbols_of(*text_buffer(batch.column("text")))
-            parts = [split_frequent(symbols, width, *x[:2], *x[2:], hot)
-                     for x in window_anchors(symbols, offsets, width, k)]
+            data, at = text_buffer(batch.column("text"))
+            parts, offsets, total = [], [np.zeros(1, dtype=np.int64)], 0
+            for i, j in row_slices(at, TEXT_BYTES):
+                symbols, own = symbols_of(data[at[i]:at[j]], at[i:j + 1] - at[i])
+                for x in window_anchors(symbols, own, width, k):
+                    x = split_frequent(symbols, width, *x, hot)
+                    parts.append((*x[:2], *(place + total for place in x[2:])))
+                offsets.append(own[1:] + total)
+                total += len(symbols)
             if not parts:
                 continue
+            offsets = np.concatenate(offsets)
             key, ctx, s1, s2, a = (np.concatenate(x) for x in zip(*parts))
             # equal rows of this batch: the earliest stands for all
             _, first, group = np.unique(key * U64(0x9E3779B97F4A7C15) + ctx,

@@ -71,6 +71,23 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def row_slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold at most ``most`` bytes together, or one row;
+    ``offsets`` (n + 1) say where each row begins."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
+        yield i, j
+        i = j
+
+
+def by_bytes(batch: pa.RecordBatch, most: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose texts hold at most ``most`` bytes, or one row."""
+    size = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    for i, j in row_slices(np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), most):
+        yield batch.slice(i, j - i)
+
+
 def sorted_by(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
     return batch.take(pc.sort_indices(batch.column(name)))
 

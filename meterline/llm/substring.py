@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import anchors
-from .common import hash_ranges, identified, read, word_bounds
+from .common import by_bytes, hash_ranges, identified, read, word_bounds
 
 WIDTH, RUN = 20, 6
 RESULT_DDL = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
@@ -94,7 +94,7 @@ def cut_with(extra: tuple[str, ...]):
         span = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
         kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(),
                  "kept_text": pa.binary(), "spans": span}
-        for batch in it:
+        for batch in (part for whole in it for part in by_bytes(whole, anchors.TEXT_BYTES)):
             m_at, marks = anchors.list_slices(batch.column("marks"))
             f_at, found = anchors.list_slices(batch.column("found"))
             texts = batch.column("text").cast(pa.binary())

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import anchors
-from .common import identified, read
+from .common import by_bytes, identified, read
 
 WIDTH, RUN = 100, 32
 SHALLOW_RIGHT, SHALLOW_LEFT = 6, 2      # in characters of eight bytes
@@ -200,7 +200,7 @@ def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", span)])
-    for batch in it:
+    for batch in (part for whole in it for part in by_bytes(whole, anchors.TEXT_BYTES)):
         m_at, marks = anchors.list_slices(batch.column("marks"))
         f_at, found = anchors.list_slices(batch.column("found"))
         texts = batch.column("text").cast(pa.binary())
