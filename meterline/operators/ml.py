@@ -24,6 +24,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meterline.operators.search import Space, search
+
 LABEL = "tip_amount"
 NUMERIC_FEATURES = ["passenger_count", "trip_distance", "fare_amount", "tolls_amount"]
 CATEGORICAL_FEATURES = ["PULocationID", "DOLocationID", "payment_type"]
@@ -326,16 +328,15 @@ def explain(model: TipModel, df: DataFrame, top_k: int = 3) -> DataFrame:
 def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categorical=None,
          trials: int = 5, parallelism: int = 2, seed: int = 42,
          l1_range=(0.0, 20.0), l2_candidates=(0.0, 0.1, 1.0, 10.0), eval_pct: int = 20):
-    """M7: ``trials`` seeded (l1, l2) draws, fitted ``parallelism`` at a time on
-    the deterministic train split, scored on the eval split; returns
-    (trial table, best model).  Indexing, imputing and the statistics are
-    done once; the trials differ in the regression only."""
-    import random
+    """M7: ``trials`` settings of (l1, l2), ``parallelism`` at a time, fitted on
+    the deterministic train split and scored on the eval split; returns
+    (trial table, best model).  After the first few, each setting is where a
+    model of the scores so far expects most (``search.py``); the seed fixes
+    them.  Indexing, imputing and the statistics are done once; the trials
+    differ in the regression only."""
     numeric = NUMERIC_FEATURES if numeric is None else list(numeric)
     categorical = CATEGORICAL_FEATURES if categorical is None else list(categorical)
-    rng = random.Random(seed)
-    params = [(round(rng.uniform(*l1_range), 4), rng.choice(list(l2_candidates)))
-              for _ in range(trials)]
+    space = Space({"l1": tuple(l1_range)}, {"l2": list(l2_candidates)})
     data = _prep(split(df.filter(F.col(label).isNotNull()), key, eval_pct), categorical)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     train_rows = data.filter(F.col("split") == "train").drop("split")
@@ -347,19 +348,25 @@ def tune(df: DataFrame, key: Column, label: str = LABEL, numeric=None, categoric
     score_on = prepared.transform(_map_unseen(base, eval_rows)).select(
         "features__", label).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def run(i_p):
-        i, (l1, l2) = i_p
+    def run(setting):
+        l1, l2 = setting["l1"], setting["l2"]
         reg, en = penalty(l1, l2)
         regression = _pipeline(label, numeric, categorical, reg, en).getStages()[-1].fit(fit_on)
         scored = regression.transform(score_on)
         e = F.col(base.prediction_col) - F.col(label)
         r = scored.agg(F.avg(e * e).alias("mse"),
                        (1 - F.avg(e * e) / F.var_pop(label)).alias("r2")).first()
-        return i, l1, l2, reg, en, r["mse"], r["r2"], regression
+        return l1, l2, reg, en, r["mse"], r["r2"], regression
 
+    results: list[tuple] = []
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            results = list(pool.map(run, enumerate(params)))
+            def score(settings):
+                found = list(pool.map(run, settings))
+                results.extend([(len(results) + i, *r) for i, r in enumerate(found)])
+                return [r[4] for r in found]
+
+            search(score, space, trials, max(1, parallelism), seed)
     finally:
         for kept in (fit_on, score_on, data):
             kept.unpersist()

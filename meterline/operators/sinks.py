@@ -13,6 +13,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_list(x) -> list[str]:
@@ -30,12 +31,22 @@ def with_partition_date(df: DataFrame, ts: str, part_col: str = "pickup_date",
     return df.withColumn(part_col, F.trunc(day, "month") if granularity == "month" else day)
 
 
-def _laid_out(df: DataFrame, parts: list[str], clusters: list[str]) -> DataFrame:
+def _laid_out(df: DataFrame, parts: list[str], clusters: list[str], ranges: int | None = None) -> DataFrame:
     """Rows arranged for a partitioned / clustered write: rebalanced on the
     partition columns (AQE sizes the tasks and splits a hot value) and
     sorted inside each task, so a task keeps one file open at a time and
-    the clustering columns are ordered inside every file."""
+    the clustering columns are ordered inside every file.
+
+    With ``ranges`` the tasks are that many ranges of (partition, cluster)
+    instead, so that a file holds a narrow range and readers skip whole files.
+    A hash of the row breaks ties: a value too frequent for one range is cut
+    into several, and a retried task gets the same rows."""
     out = df
+    if ranges:
+        hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        salt = "row_hash__"
+        return (out.withColumn(salt, F.xxhash64(*hashed)).repartitionByRange(ranges, *parts, *clusters, salt)
+                .sortWithinPartitions(*parts, *clusters).drop(salt))
     if parts:
         out = out.hint("rebalance", *parts)
     if parts or clusters:
@@ -45,15 +56,17 @@ def _laid_out(df: DataFrame, parts: list[str], clusters: list[str]) -> DataFrame
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by=None, cluster_by=None, fmt: str = "parquet",
-                max_records_per_file: int | None = None, options: dict | None = None) -> str:
+                max_records_per_file: int | None = None, options: dict | None = None,
+                cluster_ranges: int | None = None) -> str:
     """K1/K2/K4/K6/K7: write ``df`` to ``path``.
 
     ``partition_by`` gives one folder per value (partition pruning on read);
     ``cluster_by`` sorts rows inside each file so parquet min/max statistics
-    skip row groups on those columns.
+    skip row groups on those columns; ``cluster_ranges`` also deals the rows
+    by ranges over so many tasks, which lets readers skip whole files.
     """
     parts = _as_list(partition_by)
-    w = _laid_out(df, parts, _as_list(cluster_by)).write.mode(mode).format(fmt)
+    w = _laid_out(df, parts, _as_list(cluster_by), cluster_ranges).write.mode(mode).format(fmt)
     if parts:
         w = w.partitionBy(*parts)
     if max_records_per_file:
@@ -65,7 +78,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
-                partition_by=None, cluster_by=None, options: dict | None = None) -> DataFrame:
+                partition_by=None, cluster_by=None, options: dict | None = None,
+                cluster_ranges: int | None = None) -> DataFrame:
     """K5/K6/K7 as a catalog table whose files live at ``path``.
 
     The catalog tracks the table's partitions, so a filter on a partition
@@ -75,7 +89,7 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     their new partitions as part of the write.
     """
     parts = _as_list(partition_by)
-    w = _laid_out(df, parts, _as_list(cluster_by)).write.mode(mode).format("parquet")
+    w = _laid_out(df, parts, _as_list(cluster_by), cluster_ranges).write.mode(mode).format("parquet")
     if parts:
         # stored with the table: INSERT OVERWRITE rewrites only the partitions
         # it writes rows to (see overwrite_table_partitions)

@@ -4,6 +4,8 @@ targets, counts from the catalog."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from meterline.plans import catalog, interval, models
 from meterline.plans.catalog import (ORDER_COLS, ORDER_FP, PICK, forget, money, monthly_orders, monthly_table, orders,
                                      register, yellow)
 from meterline.sources import drift
+from meterline.streaming.daily import DailyStream
 
 
 def _fresh(spark: SparkSession, stem: str) -> tuple[str, str]:
@@ -225,3 +228,73 @@ def q_partition_counts_metadata(spark, sf_dir):
     sinks.append_table_partitions(again, name, "order_month")
     sinks.analyze_partitions(spark, name, "order_month", merge.partition_values(again, "order_month"))
     return partition_counts_from_catalog(spark, name, "order_month")
+
+
+# --- reports by event time --------------------------------------------------------------
+
+def arriving_trips(spark, sf_dir) -> DailyStream:
+    """A daily report fed by four arrivals: trips until 1994, until 1996, the
+    rest, and in each but the first the trips of two passengers of the arrival
+    before.  Days stay open for 400 days after the newest trip."""
+    key = (spark.sparkContext.applicationId, sf_dir, "arriving")
+    if key not in catalog._WRITTEN:
+        year = F.year("pickup_datetime")
+        own = F.when(year < 1995, 1).when(year < 1997, 2).otherwise(3)
+        trips = (catalog.ingested(spark, sf_dir).withColumnRenamed("tpep_pickup_datetime", "pickup_datetime")
+                 .select("pickup_datetime", "taxi_type", "passenger_count", "fare_amount", "tip_amount", "trip_distance")
+                 .withColumn("arrival", own + F.when(F.col("passenger_count") == 2, 1).otherwise(0)))
+        kept, source = catalog._scratch(spark, "arrivals"), catalog._scratch(spark, "arriving")
+        trips.write.partitionBy("arrival").parquet(kept)
+        stream = DailyStream(spark, catalog._scratch(spark, "daily"), trips.drop("arrival").schema,
+                             delay=dt.timedelta(days=400))
+        for arrival in (1, 2, 3, 4):
+            spark.read.parquet(kept).filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(source)
+            stream.run(source)
+        catalog._WRITTEN[key] = stream
+    return catalog._WRITTEN[key]
+
+
+@register("event_time_report")
+def q_event_time_report(spark, sf_dir):
+    """The daily report appended by a stream as its watermark closes days."""
+    return arriving_trips(spark, sf_dir).closed()
+
+
+@register("event_time_open_days")
+def q_event_time_open_days(spark, sf_dir):
+    """The days the watermark has not closed, as they stand."""
+    return arriving_trips(spark, sf_dir).open()
+
+
+@register("event_time_late_rows")
+def q_event_time_late_rows(spark, sf_dir):
+    """The trips that came after their day was closed."""
+    return arriving_trips(spark, sf_dir).late()
+
+
+# --- models kept and explained --------------------------------------------------------------
+
+@register("ml_reloaded_predict")
+def q_ml_reloaded_predict(spark, sf_dir):
+    """M9 M5: a model saved, loaded and applied; per payment type, rows and
+    summed predictions (equal to the summed tips for least squares)."""
+    from meterline.operators import ml
+    data = catalog.ml_table(spark, sf_dir)
+    path = ml.save(ml.train(data, numeric=[], categorical=["payment_type"]), catalog._scratch(spark, "reloaded_model"))
+    scored = ml.predict(ml.load(path), data.filter(F.col("tip_amount").isNotNull()))
+    return scored.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("predicted_tip_amount"), 2).alias("sum_predicted_tip_amount"))
+
+
+@register("ml_explain_single_feature")
+def q_ml_explain_single_feature(spark, sf_dir):
+    """M6: with one numeric feature an attribution is slope x (fare - mean);
+    per payment type, the baseline and the summed attributions."""
+    from meterline.operators import ml
+    data = catalog.ml_table(spark, sf_dir).filter(F.col("tip_amount").isNotNull())
+    model = ml.train(data, numeric=["fare_amount"], categorical=[])
+    told = ml.explain(model, data, top_k=1)
+    return told.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("baseline_prediction_value"), 6).alias("baseline"),
+        F.round(F.sum(F.col("top_feature_attributions")[0]["attribution"]), 3).alias("sum_attribution"),
+        F.round(F.sum("prediction_value"), 3).alias("sum_prediction"))

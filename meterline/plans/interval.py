@@ -118,6 +118,17 @@ def exact_avg(c: str, scale: str = MONEY_SCALE):
     return exact_sum(c, scale) / F.nullif(F.count(c), F.lit(0))
 
 
+def report_measures(scale: str = MONEY_SCALE) -> list:
+    """What the daily reports say of a group of trips."""
+    return [F.count(F.lit(1)).alias("total_trips"),
+            exact_sum("fare_amount", scale).alias("total_fare_amount"),
+            exact_avg("fare_amount", scale).alias("avg_fare_amount"),
+            exact_sum("tip_amount", scale).alias("total_tip_amount"),
+            exact_avg("tip_amount", scale).alias("avg_tip_amount"),
+            exact_sum("trip_distance", scale).alias("total_trip_distance"),
+            exact_avg("trip_distance", scale).alias("avg_trip_distance")]
+
+
 def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
                  ordered: bool = True, scale: str = MONEY_SCALE) -> DataFrame:
     """reports.trips_report: per day and taxi type (and payment type when
@@ -130,13 +141,7 @@ def daily_report(staged: DataFrame, start, end, by_payment: bool = False,
         keys.append(F.col("payment_type"))
     g = (staged.filter(in_interval("pickup_datetime", s, e))
                .groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("total_trips"),
-                    exact_sum("fare_amount", scale).alias("total_fare_amount"),
-                    exact_avg("fare_amount", scale).alias("avg_fare_amount"),
-                    exact_sum("tip_amount", scale).alias("total_tip_amount"),
-                    exact_avg("tip_amount", scale).alias("avg_tip_amount"),
-                    exact_sum("trip_distance", scale).alias("total_trip_distance"),
-                    exact_avg("trip_distance", scale).alias("avg_trip_distance")))
+               .agg(*report_measures(scale)))
     if not ordered:
         return g
     order = ["pickup_date", "taxi_type"] + (["payment_type"] if by_payment else [])

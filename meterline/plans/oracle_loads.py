@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.plans.oracle_sql import _ING, _MART_SUMS, _STG, _TA, ORACLE, _xavg, _xsum, money, with_ctes
+from meterline.plans.oracle_sql import _ING, _MART_SUMS, _ML, _STG, _TA, ORACLE, _xavg, _xsum, money, with_ctes
 
 _COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 _STAYS = f"SELECT {_COLS} FROM orders WHERE o_custkey % 10 <> 3"
@@ -36,6 +36,32 @@ def _run(run: int, rows: str, lost: str, negative: str, twice: str, published: s
 _YEARS = "(SELECT EXTRACT(YEAR FROM tpep_pickup_datetime) AS y FROM ta_yellow GROUP BY 1)"
 _FIXED = "(pickup_datetime < TIMESTAMP '1996-01-01' AND passenger_count = 3)"
 
+_ARRIVALS = """
+arrivals AS (
+  SELECT tpep_pickup_datetime AS pickup_datetime, taxi_type, passenger_count, fare_amount, tip_amount, trip_distance,
+    date_trunc('day', tpep_pickup_datetime) + INTERVAL 1 DAY AS day_end,
+    CASE WHEN tpep_pickup_datetime < TIMESTAMP '1995-01-01' THEN 1
+         WHEN tpep_pickup_datetime < TIMESTAMP '1997-01-01' THEN 2 ELSE 3 END
+      + CASE WHEN passenger_count = 2 THEN 1 ELSE 0 END AS arrival
+  FROM ing
+),
+split AS (
+  SELECT a.*, coalesce(day_end <= (SELECT MAX(b.pickup_datetime) FROM arrivals b WHERE b.arrival < a.arrival)
+                                  - INTERVAL 400 DAY, false) AS is_late,
+    day_end <= (SELECT MAX(pickup_datetime) FROM arrivals) - INTERVAL 400 DAY AS is_closed
+  FROM arrivals a
+)"""
+
+
+def _by_day(rows: str) -> str:
+    return with_ctes(f"""
+SELECT CAST(pickup_datetime AS DATE) AS pickup_date, taxi_type, COUNT(*) AS total_trips,
+  {_xsum("fare_amount")} AS total_fare_amount, {_xavg("fare_amount")} AS avg_fare_amount,
+  {_xsum("tip_amount")} AS total_tip_amount, {_xavg("tip_amount")} AS avg_tip_amount,
+  {_xsum("trip_distance")} AS total_trip_distance, {_xavg("trip_distance")} AS avg_trip_distance
+FROM split WHERE {rows} GROUP BY CAST(pickup_datetime AS DATE), taxi_type""", _TA, _ING, _ARRIVALS)
+
+
 ORACLE.update({
     "months_type_drift": with_ctes(f"""
 SELECT CAST(EXTRACT(YEAR FROM tpep_pickup_datetime) AS INTEGER) AS year, COUNT(*) AS trips,
@@ -81,4 +107,18 @@ FROM ta_yellow GROUP BY 1""", _TA),
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
   COUNT(*) + COUNT(*) FILTER (o_orderstatus = 'F' AND date_trunc('month', o_orderdate) = DATE '1998-06-01') AS total_rows
 FROM orders GROUP BY 1""",
+    "count_range_vendor_month_ranges": ORACLE["count_range_vendor_month_clustered"],
+    "event_time_report": _by_day("NOT is_late AND is_closed"),
+    "event_time_open_days": _by_day("NOT is_late AND NOT is_closed"),
+    "event_time_late_rows": with_ctes("""
+SELECT pickup_datetime, taxi_type, passenger_count, fare_amount, tip_amount, trip_distance
+FROM split WHERE is_late""", _TA, _ING, _ARRIVALS),
+    "ml_reloaded_predict": ORACLE["ml_predict_categorical"],
+    "ml_explain_single_feature": with_ctes("""
+SELECT m.payment_type, COUNT(*) AS n, ROUND(MIN(f.intercept + f.slope * f.mean), 6) AS baseline,
+  ROUND(SUM(f.slope * (coalesce(m.fare_amount, f.mean) - f.mean)), 3) AS sum_attribution,
+  ROUND(SUM(f.intercept + f.slope * coalesce(m.fare_amount, f.mean)), 3) AS sum_prediction
+FROM mlt m, (SELECT regr_intercept(tip_amount, fare_amount) AS intercept, regr_slope(tip_amount, fare_amount) AS slope,
+               AVG(fare_amount) AS mean FROM mlt WHERE tip_amount IS NOT NULL) f
+WHERE m.tip_amount IS NOT NULL GROUP BY m.payment_type""", _TA, _ML),
 })
