@@ -87,7 +87,7 @@ def apply_batch(spark: SparkSession, name: str, path: str, part_col: str, keys:
         if created:
             sinks.append_table_partitions(own, name, part_col)
             return
-        stored = spark.table(name).filter(merge.in_partitions(part_col, values))
+        stored = merge.rows_of_partitions(spark.table(name), part_col, values)
         with sinks.staged(merged(stored.select(*own.columns), own, keys), "state_next") as after:
             left = {str(v) for v in merge.partition_values(after, part_col)}
             if left:
@@ -99,7 +99,7 @@ def apply_batch(spark: SparkSession, name: str, path: str, part_col: str, keys:
 def rebuild(spark: SparkSession, name: str, path: str, part_col: str, keys: Sequence[str],
             measures: Sequence[str], rows: DataFrame, values: Sequence) -> None:
     """Partitions ``values`` of the state anew from ``rows``, the table's."""
-    own = state_of(rows.filter(merge.in_partitions(part_col, values)), keys, measures)
+    own = state_of(merge.rows_of_partitions(rows, part_col, values), keys, measures)
     with sinks.staged(own, "state_rebuilt") as after:
         left = {str(v) for v in merge.partition_values(after, part_col)}
         if left:

@@ -42,11 +42,35 @@ def in_partitions(part_col: str, values: Sequence) -> Column:
     return cond | F.col(part_col).isNull() if len(known) < len(values) else cond
 
 
+#: Up to so many partitions stand in a filter as literals.
+LITERAL_PARTITIONS = 200
+
+
+def rows_of_partitions(df: DataFrame, part_col: str, values: Sequence) -> DataFrame:
+    """Rows of ``df`` whose partition is among ``values``.
+
+    Few values are a filter.  Many (a backfill of thousands of days) are a
+    table joined to the partition column, so the plan stays small; its range
+    prunes partitions when planned, the join prunes the rest when run.  The
+    values are on the driver already, so their broadcast is no larger.
+    """
+    known = sorted({v for v in values if v is not None})
+    if len(known) <= LITERAL_PARTITIONS:
+        return df.filter(in_partitions(part_col, values))
+    wanted = df.sparkSession.createDataFrame(
+        [(v,) for v in known], T.StructType([T.StructField("wanted__", df.schema[part_col].dataType)]))
+    # a comparison on the small side makes the join prune partitions of the other
+    wanted = wanted.filter(F.col("wanted__") >= F.lit(known[0]))
+    held = df.filter(F.col(part_col).between(F.lit(known[0]), F.lit(known[-1])))
+    out = held.join(F.broadcast(wanted), F.col(part_col) == F.col("wanted__"), "left_semi")
+    return out.unionByName(df.filter(F.col(part_col).isNull())) if None in values else out
+
+
 def prune_target(target: DataFrame, source: DataFrame, part_col: str) -> DataFrame:
     """Target rows of the partitions the source has rows for; one stray date
     adds its own partition, not all between.  Exact when the merge key
     determines ``part_col`` (the fingerprint includes the pickup time)."""
-    return target.filter(in_partitions(part_col, partition_values(source, part_col)))
+    return rows_of_partitions(target, part_col, partition_values(source, part_col))
 
 
 def aligned(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -261,8 +285,8 @@ def _merge_partitions(spark: SparkSession, batch: DataFrame, path: str, target:
     left = [] if created or key_fixes_partition else [
         v for v in partitions_of_keys(target, batch, keys, part_col) if v not in shared]
     if shared or left:
-        touched = target.filter(in_partitions(part_col, shared + left))
-        own = batch.filter(in_partitions(part_col, shared))
+        touched = rows_of_partitions(target, part_col, shared + left)
+        own = rows_of_partitions(batch, part_col, shared)
         gone = batch if left else own
         merged = touched.join(gone.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
         with sinks.staged(merged.unionByName(own), f"{name}_merged") as new:
@@ -274,7 +298,7 @@ def _merge_partitions(spark: SparkSession, batch: DataFrame, path: str, target:
             sinks.drop_null_partition(spark, name, path, part_col)
     if len(shared) < len(values):
         sinks.append_table_partitions(
-            batch.filter(in_partitions(part_col, [v for v in values if v not in shared])), name, part_col)
+            rows_of_partitions(batch, part_col, [v for v in values if v not in shared]), name, part_col)
 
 
 def merge_upsert_table(spark: SparkSession, source: DataFrame, name: str, path: str, key,

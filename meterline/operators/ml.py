@@ -24,6 +24,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meterline.operators.joins import LOOKUP_MAX_ROWS
 from meterline.operators.search import Space, search
 
 LABEL = "tip_amount"
@@ -170,15 +171,33 @@ def _orig(c: str) -> str:
     return f"{c}__orig"
 
 
-def _map_unseen(model: TipModel, df: DataFrame) -> DataFrame:
+def _value(c: str) -> str:
+    return f"{c}__value"
+
+
+def _category_table(spark: SparkSession, c: str, labels, values) -> DataFrame:
+    """(<c>__known, <c>__value): a feature's categories and a number for each;
+    broadcast only if they are few."""
+    rows = [(x, None if values is None else float(values[x])) for x in labels]
+    table = spark.createDataFrame(rows, f"`{c}__known` string, `{_value(c)}` double")
+    return F.broadcast(table) if len(rows) <= LOOKUP_MAX_ROWS else table
+
+
+def _map_unseen(model: TipModel, df: DataFrame, values=None) -> DataFrame:
     """Model-ready copy of ``df``: NULL and unseen categories mapped to the
-    baseline category; the caller's values are kept in ``<c>__orig``."""
+    baseline category; the caller's values are kept in ``<c>__orig``.
+    ``values`` (feature, then category) adds its number as ``<c>__value``.
+    Categories are joined as a table: a plan does not grow with them."""
     for c in model.categorical:
         df = df.withColumn(_orig(c), F.col(c))
     df = _prep(df, model.categorical)
     for c in model.categorical:
         labs = model.labels[c]
-        df = df.withColumn(c, F.when(F.col(c).isin(labs), F.col(c)).otherwise(F.lit(labs[-1])))
+        own = None if values is None else values[c]
+        df = df.join(_category_table(df.sparkSession, c, labs, own), F.col(c) == F.col(f"{c}__known"), "left")
+        df = df.withColumn(c, F.coalesce(f"{c}__known", F.lit(labs[-1]))).drop(f"{c}__known")
+        df = (df.drop(_value(c)) if own is None
+              else df.withColumn(_value(c), F.coalesce(_value(c), F.lit(float(own[labs[-1]])))))
     return df
 
 
@@ -294,8 +313,8 @@ def explain(model: TipModel, df: DataFrame, top_k: int = 3) -> DataFrame:
     baseline + Σ attributions = prediction.
     """
     intercept, num, cat = model.coefficients()
-    prepped = _map_unseen(model, df)
     attributions: dict[str, Column] = {}
+    of_category: dict[str, dict[str, float]] = {}
     baseline = intercept
     for c in model.numeric:
         mean = model.means[c]
@@ -305,8 +324,8 @@ def explain(model: TipModel, df: DataFrame, top_k: int = 3) -> DataFrame:
     for c in model.categorical:
         coefs = cat[c]
         center = sum(coefs.get(k, 0.0) * f for k, f in model.frequencies[c].items())
-        m = F.create_map(*[x for k, v in coefs.items() for x in (F.lit(k), F.lit(float(v)))])
-        attributions[c] = F.element_at(m, F.col(c)) - F.lit(center)
+        of_category[c] = {k: v - center for k, v in coefs.items()}
+        attributions[c] = F.col(_value(c))
         baseline += center
     ranked = F.sort_array(F.array(*[
         F.struct((-F.abs(a)).alias("k"), F.lit(n).alias("feature"), a.alias("attribution"))
@@ -317,7 +336,7 @@ def explain(model: TipModel, df: DataFrame, top_k: int = 3) -> DataFrame:
     total = None
     for a in attributions.values():
         total = a if total is None else total + a
-    out = model.pipeline.transform(prepped).select(
+    out = model.pipeline.transform(_map_unseen(model, df, of_category)).select(
         *_inputs(model, df.columns), model.prediction_col,
         top.alias("top_feature_attributions"),
         F.lit(baseline).alias("baseline_prediction_value"),

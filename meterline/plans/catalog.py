@@ -36,9 +36,9 @@ def money(c) -> Column:
 
 def staged(spark: SparkSession, sf_dir: str, sample_range=None) -> tuple[DataFrame, DataFrame]:
     tb = adapter.TIE_BREAKERS
-    y = staging.stage_yellow(adapter.raw_yellow(spark, sf_dir), sample_range, carry=tb)
-    g = staging.stage_green(adapter.raw_green(spark, sf_dir), sample_range, carry=tb)
-    return y, g
+    yellow_raw, green_raw = adapter.raw_both(spark, sf_dir)
+    return (staging.stage_yellow(yellow_raw, sample_range, carry=tb),
+            staging.stage_green(green_raw, sample_range, carry=tb))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -858,7 +858,7 @@ def _backfill(spark, sf_dir, lineage: bool) -> DataFrame:
             label = F.date_format(pick, "yyyy-MM")
         # gzip files cannot be split: too few of them are dealt over all cores
         frames.append(spread(raw.select(F.lit(svc).alias("service"), label.alias("month_label"),
-                                        F.col("fare_amount"))))
+                                        F.col("fare_amount")), splittable=False))
     u = frames[0].unionByName(frames[1])
     return u.groupBy("service", "month_label").agg(
         F.count(F.lit(1)).alias("trips"), money(F.sum("fare_amount")).alias("fare_amount"))

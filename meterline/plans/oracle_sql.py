@@ -112,6 +112,7 @@ trips AS (
     trip_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, ehail_fee,
     improvement_surcharge, total_amount,
     coalesce(payment_type, 0) AS payment_type,
+    -- fixed values: payment type codes and names
     CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
       WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip'
       ELSE 'Unknown' END AS payment_type_description
@@ -216,6 +217,8 @@ FCT_COLS = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_loca
             "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
             "improvement_surcharge", "total_amount", "payment_type", "payment_type_description"]
 
+# --- fixed values (must equal the reference's for matching results) --------
+# Payment type codes and names.
 PAYMENT_VALUES = ("(VALUES (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), "
                   "(5, 'Unknown'), (6, 'Voided trip')) AS p(payment_type_id, payment_type_name)")
 
@@ -347,6 +350,7 @@ FROM ta_green""", _TA),
     "dim_zones": with_ctes("SELECT * FROM zones", _TA, _STG),
     "dim_vendors": with_ctes("""
 SELECT DISTINCT vendor_id,
+  -- fixed values: vendor ids and names
   CASE vendor_id WHEN 1 THEN 'Creative Mobile Technologies' WHEN 2 THEN 'VeriFone Inc.'
     WHEN 4 THEN 'Unknown/Other' END AS vendor_name
 FROM fct""", _TA, _STG),

@@ -98,14 +98,22 @@ def _shape(base: DataFrame, schema, prefix: str, keep_tie_breakers: bool) -> Dat
     return base.select(*cols)
 
 
-def raw_yellow(spark: SparkSession, sf_dir: str, tie_breakers: bool = True) -> DataFrame:
-    base = trip_base(spark, sf_dir).filter(F.col("l_linenumber") % 2 == 1)
-    return _shape(base, YELLOW_RAW, "tpep", tie_breakers)
+def raw_yellow(spark: SparkSession, sf_dir: str, tie_breakers: bool = True,
+               base: DataFrame | None = None) -> DataFrame:
+    base = trip_base(spark, sf_dir) if base is None else base
+    return _shape(base.filter(F.col("l_linenumber") % 2 == 1), YELLOW_RAW, "tpep", tie_breakers)
 
 
-def raw_green(spark: SparkSession, sf_dir: str, tie_breakers: bool = True) -> DataFrame:
-    base = trip_base(spark, sf_dir).filter(F.col("l_linenumber") % 2 == 0)
-    return _shape(base, GREEN_RAW, "lpep", tie_breakers)
+def raw_green(spark: SparkSession, sf_dir: str, tie_breakers: bool = True,
+              base: DataFrame | None = None) -> DataFrame:
+    base = trip_base(spark, sf_dir) if base is None else base
+    return _shape(base.filter(F.col("l_linenumber") % 2 == 0), GREEN_RAW, "lpep", tie_breakers)
+
+
+def raw_both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(yellow, green) over one listing of the tables."""
+    base = trip_base(spark, sf_dir)
+    return raw_yellow(spark, sf_dir, base=base), raw_green(spark, sf_dir, base=base)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +132,7 @@ def interval_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Month frames per taxi type as the interval pipeline receives them
     (parquet month files: ids integer, amounts double, service-specific names)."""
     out = {}
-    for svc, frame in (("yellow", raw_yellow(spark, sf_dir)), ("green", raw_green(spark, sf_dir))):
+    for svc, frame in zip(("yellow", "green"), raw_both(spark, sf_dir)):
         prefix = "tpep" if svc == "yellow" else "lpep"
         cols = [
             F.col("VendorID").cast("int").alias("VendorID"),

@@ -51,15 +51,29 @@ class Sources:
         return spark.table(f"{t.root}.{stored}") if t.catalog else table(spark, t.root, stored)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def scan_splits(df: DataFrame) -> int:
+    """Partitions a scan of splittable files will have, from the sizes its
+    listing found: the plan is neither made nor run."""
+    spark = df.sparkSession
+    state = spark._jsparkSession.sessionState().conf()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    opening = state.filesOpenCostInBytes()
+    cores = spark.sparkContext.defaultParallelism
+    split = min(state.filesMaxPartitionBytes(), max(opening, (size + opening) // cores))
+    return -(-size // split)
+
+
+def spread(df: DataFrame, splittable: bool = True) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has
     cores (e.g. one file with a single row group, or one gzip CSV) over all
     cores, so the work after it runs in parallel.  Round-robin, not by key:
     a key holding a third of the rows still spreads evenly.  A scan that is
     already split (the usual case for large tables: many files) is returned
-    unchanged, so this adds no shuffle at scale."""
+    unchanged, so this adds no shuffle at scale.  Files that cannot be split
+    (gzip) are counted by planning their scan."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if (scan_splits(df) if splittable else df.rdd.getNumPartitions()) >= slots:
         return df
     return df.repartition(slots)
 
