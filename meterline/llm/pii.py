@@ -14,11 +14,12 @@ rows are base spans of the corpus rewritten to a form the base rules do not
 read (``rewritten``), in the context they were found in; negative rows are
 candidates of the corpus that break a rule of their kind (check digit, octet
 above 255, no top domain, too few digits) or that no cue word is near.  Valid
-candidates next to a cue are neither.  At most ``TRAINING`` rows a label are
-used, the lowest by a hash.  A fifth of the documents calibrates: a kind's
-threshold is the lowest score from which on ``PRECISION`` of the rows are
-positive, counted with every row above it; a kind without enough rows there
-adds nothing.
+candidates next to a cue are neither.  All such rows of the corpus are used:
+those of four fifths of the documents grow the trees, those of the last fifth
+calibrate.  A kind's threshold is the lowest score from which on ``PRECISION``
+of its rows there are positive, counted with every row above it; a kind
+without enough rows there adds nothing.  (Which values Spark ML tries as
+splits it picks itself; what a split gains is counted over all rows.)
 
 Spans count code points, the end is exclusive.
 
@@ -52,7 +53,7 @@ KINDS = ("email", "ip", "card", "phone")
 MARK, OTHER = "\u0001", "\u0002"
 #: Code points of context on either side of a match.
 BEFORE, AFTER = 40, 20
-TRAINING, PRECISION, ENOUGH = 20_000, 0.98, 10
+PRECISION, ENOUGH = 0.98, 10
 
 #: The base patterns, beginning where a run of theirs begins.
 BASE = {
@@ -227,15 +228,14 @@ class Model:
                       F.lit(False))
 
 
-def learn(hits: DataFrame, training: int = TRAINING, precision: float = PRECISION) -> Model:
-    """Trees and thresholds from ``candidates``."""
+def learn(hits: DataFrame, precision: float = PRECISION) -> Model:
+    """Trees and thresholds from all ``candidates`` with a label."""
     columns = ("rid", "kind", "start", "match", "before", "after")
     good = features(hits.filter("base").withColumn("match", rewritten()).select(*columns)).withColumn("label", F.lit(1.0))
     bad = features(hits.filter("not base").select(*columns))
     bad = bad.filter(~plausible()).withColumn("label", F.lit(0.0))
-    mixed = F.xxhash64("rid", "start", "kind", "match")
-    rows = materialize(good.orderBy(mixed).limit(training).unionByName(bad.orderBy(mixed).limit(training))
-                       .withColumn("held", F.pmod(F.xxhash64("rid", F.lit(7)), F.lit(5)) == 0), "labelled")
+    rows = materialize(good.unionByName(bad).withColumn(
+        "held", F.pmod(F.xxhash64("rid", F.lit(7)), F.lit(5)) == 0), "labelled")
     fit, held = rows.filter("not held"), rows.filter("held")
     if fit.select("label").distinct().count() < 2:
         return Model()
