@@ -34,20 +34,20 @@ def drifting_months(spark: SparkSession, sf_dir: str) -> list[str]:
     """The yellow trips as one folder a year, written by three generations of
     a feed: passenger counts are INT until 1996, BIGINT until 1998, DOUBLE
     from then on; the last one lacks the congestion surcharge and spells a
-    column otherwise."""
+    column otherwise.  The trips are joined once, all writes read them."""
     key = (spark.sparkContext.applicationId, sf_dir, "drifting")
     if key not in catalog._WRITTEN:
         base = catalog._scratch(spark, "drifting_months")
-        trips = yellow(spark, sf_dir).withColumn("year", F.year(PICK))
+        trips = sinks.materialize(yellow(spark, sf_dir).withColumn("year", F.year(PICK)), "drifting_trips")
         for kind, own in (("int", F.col("year") < 1997), ("bigint", F.col("year").between(1997, 1998)),
                           ("double", F.col("year") > 1998)):
             rows = trips.filter(own).withColumn("passenger_count", F.col("passenger_count").cast(kind))
             if kind == "double":
                 rows = rows.drop("congestion_surcharge").withColumnRenamed("tolls_amount", "Tolls_Amount")
             rows.write.partitionBy("year").mode("append").parquet(base)
-        catalog._WRITTEN[key] = base
-    years = [r[0] for r in yellow(spark, sf_dir).select(F.year(PICK)).distinct().collect()]
-    return [f"{catalog._WRITTEN[key]}/year={y}" for y in sorted(years)]
+        years = [r[0] for r in trips.select("year").distinct().collect()]
+        catalog._WRITTEN[key] = [f"{base}/year={y}" for y in sorted(years)]
+    return catalog._WRITTEN[key]
 
 
 @register("months_type_drift")
