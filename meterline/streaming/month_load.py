@@ -27,7 +27,9 @@ from meterline.sources.files import CORRUPT
 
 def month_unit(path) -> F.Column:
     """The load unit of a file: the month its name or folder gives, else its path."""
-    month = F.regexp_extract(path, r"(?:tripdata_|month=)(\d{4}-\d{2})", 1)
+    # worked out for every row: the pattern starts where it can match first
+    at = F.least(*[F.nullif(F.locate(w, path), F.lit(0)) for w in ("tripdata_", "month=")])
+    month = F.regexp_extract(F.substring(path, at, F.length(path)), r"(?:tripdata_|month=)(\d{4}-\d{2})", 1)
     return F.when(month != "", month).otherwise(path)
 
 
@@ -68,6 +70,6 @@ def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_pa
     if not sinks.holds_files(spark, inbox):
         return warehouse.Loaded(0, 0)
     staged = spark.read.parquet(inbox).drop("batch")
-    loaded = warehouse.load_month(spark, staged, target_path, table, max_bad_rows)
+    loaded = warehouse.load_month(spark, staged, target_path, table, max_bad_rows, stored=True)
     sinks.delete_folder(spark, inbox)
     return loaded
