@@ -15,6 +15,9 @@ what had been inserted is not inserted twice.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +36,23 @@ def month_unit(path) -> F.Column:
     return F.when(month != "", month).otherwise(path)
 
 
+@contextmanager
+def fine_scans(spark: SparkSession) -> Iterator[None]:
+    """For a stream run in it: its scans have four tasks a core, where the
+    files allow, as gzip files packed to one task a core leave cores idle
+    behind the last.  The session's setting is put back after the stream; a
+    session that names a number keeps it."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_path: str,
                       checkpoint: str, max_files_per_trigger: int | None = None,
                       table: str | None = None, recursive: bool = False,
@@ -62,9 +82,10 @@ def stream_month_load(spark: SparkSession, src_dir: str, service: str, target_pa
     def keep(batch: DataFrame, batch_id: int) -> None:
         warehouse.stage_month(batch, service).write.mode("overwrite").parquet(f"{inbox}/batch={batch_id}")
 
-    q = (raw.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with fine_scans(spark):
+        q = (raw.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     if not sinks.holds_files(spark, inbox):
